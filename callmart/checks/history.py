@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from callmart.checks.fixtures import CTX, table, view
 from callmart.checks.registry import OK, check
 from callmart.functions.calendar import elapsed
-from callmart.functions.decode import is_success
 from callmart.functions.phone import phone_key
 from callmart.operators import dedupe, history, joins
 from callmart.operators.trailing import MIDNIGHT, Trailing, count_before, trailing
@@ -76,13 +75,12 @@ def trailing_avgs(spark, folder):
 )
 def trailing_months(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    done = F.col("o_orderstatus") == "F"
     features = trailing(
         orders, orders, ["o_custkey"], "o_orderdate", "o_orderdate",
-        sums={"n": F.lit(1).cast("long"), "ok": F.when(done, 1).otherwise(0).cast("long")},
+        sums={"n": "1", "ok": "if(o_orderstatus = 'F', 1, 0)"},
         windows={"6": Trailing("6 MONTHS"), "3": Trailing("3 MONTHS", MIDNIGHT), "1": Trailing("1 MONTH", MIDNIGHT)},
         outputs={"cnt_6m": ("n", "6"), "cnt_3m": ("n", "3"), "cnt_1m": ("n", "1"), "ok_6m": ("ok", "6")},
-        latest={"last_ok": (F.when(done, F.col("o_orderdate")), "6")},
+        latest={"last_ok": ("if(o_orderstatus = 'F', o_orderdate, null)", "6")},
     )
     return joins.attach(orders, features, ["o_custkey", "o_orderdate"]).select("o_orderkey", *[c for c in features.columns if not c.startswith("o_")])
 
@@ -100,7 +98,7 @@ def trailing_other(spark, folder):
     )
     counted = trailing(
         orders, shipped, ["o_custkey"], "o_orderdate", "l_shipdate",
-        sums={"n": F.lit(1).cast("long")}, windows={"year": Trailing("12 MONTHS")}, outputs={"shipped_12m": ("n", "year")},
+        sums={"n": "1"}, windows={"year": Trailing("12 MONTHS")}, outputs={"shipped_12m": ("n", "year")},
     )
     return joins.attach(orders, counted, ["o_custkey", "o_orderdate"]).select("o_orderkey", "shipped_12m")
 
@@ -133,7 +131,7 @@ def theta_before(spark, folder):
         table(spark, folder, "lineitem").select("l_orderkey", "l_shipdate"), orders, {"l_orderkey": "o_orderkey"}, ["o_custkey"], how="inner"
     )
     counted = count_before(
-        orders, shipped, ["o_custkey"], "o_orderdate", "l_shipdate", {"shipped_before": F.col("l_shipdate").isNotNull()}
+        orders, shipped, ["o_custkey"], "o_orderdate", "l_shipdate", {"shipped_before": "l_shipdate is not null"}
     )
     return joins.attach(orders, counted, ["o_custkey", "o_orderdate"]).select("o_orderkey", "shipped_before")
 

@@ -69,9 +69,13 @@ def latest_status(ended: Column, began: Column, *fallbacks: Column) -> Column:
     return F.coalesce(by_date, *fallbacks)
 
 
-def is_success(talk: Column | str = "talk_duration", result: Column | str = "code_call_result_type") -> Column:
-    """Whether a call was answered: there was talk, or the result says so. Never missing."""
-    return F.coalesce(_col(talk) > 0, F.lit(False)) | _col(result).eqNullSafe(F.lit(ANSWERED))
+# Whether a call was answered: there was talk, or the result says so. Never missing.
+SUCCESS = f"(coalesce(talk_duration > 0, false) or code_call_result_type <=> '{ANSWERED}')"
+
+
+def is_success() -> Column:
+    """``SUCCESS`` over the columns of the call log."""
+    return F.expr(SUCCESS)
 
 
 def safe_rate(part: Column | str, whole: Column | str) -> Column:

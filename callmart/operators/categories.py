@@ -8,21 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmart.fixed_values import DAY_PARTS, WEEKDAYS
-from callmart.functions.calendar import _col
-from callmart.functions.decode import is_success
+from callmart.functions.decode import SUCCESS
 
 
-def count_where(condition: Column) -> Column:
-    return F.count(F.when(condition, 1))
-
-
-def count_by_category(
-    c: Column | str, values: Mapping[str, str], where: Column | None = None
-) -> list[Column]:
+def count_by_category(c: str, values: Mapping[str, str], where: str = "true") -> list[Column]:
     """A conditional count per listed value; ``values`` maps the value to its column name."""
-    c = _col(c)
-    extra = where if where is not None else F.lit(True)
-    return [count_where((c == F.lit(v)) & extra).alias(name) for v, name in values.items()]
+    return [F.expr(f"count_if({c} = '{v}' and {where}) as {name}") for v, name in values.items()]
 
 
 def slot_names(success: bool) -> tuple[dict[str, str], dict[str, str]]:
@@ -33,20 +24,18 @@ def slot_names(success: bool) -> tuple[dict[str, str], dict[str, str]]:
     return parts, days
 
 
-def slot_counts(part: str = "day_part", weekday: str = "weekday", ok: Column | None = None) -> list[Column]:
+def slot_counts(part: str = "day_part", weekday: str = "weekday", ok: str = SUCCESS) -> list[Column]:
     """Counts by day part and weekday: of all calls, then of answered ones."""
-    ok = ok if ok is not None else is_success()
     out = []
     for success in (False, True):
         parts, days = slot_names(success)
-        where = ok if success else None
+        where = ok if success else "true"
         out += count_by_category(part, parts, where) + count_by_category(weekday, days, where)
     return out
 
 
-def direction_counts(ok: Column | None = None) -> list[Column]:
+def direction_counts(ok: str = SUCCESS) -> list[Column]:
     """Outbound and inbound counts, of all calls and of answered ones."""
-    ok = ok if ok is not None else is_success()
     kind = "interaction_type_code"
     return count_by_category(
         kind, {"OUTBOUND": "cnt_out_calls_6m", "INBOUND": "cnt_in_calls_6m"}

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmart.functions.calendar import _col
-from callmart.operators.ordered import HOT_ROWS, running
+from callmart.operators.ordered import HOT_ROWS, Hot, find_hot, running
 
 
 def lag_features(
@@ -16,22 +15,19 @@ def lag_features(
     keys: list[str],
     ts: str,
     tie: str,
-    columns: Mapping[str, Column | str],
+    columns: Mapping[str, str],
+    hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Values of the previous row of the same key, all from one sort."""
-    order = [F.col(ts).asc(), F.col(tie).asc()]
-    return running(
-        df, keys, order, prevs={out: _col(c) for out, c in columns.items()}, hot_rows=hot_rows
-    )
+    return running(df, keys, [ts, tie], prevs=columns, hot=hot, hot_rows=hot_rows)
 
 
 def rank_by_recency(
     df: DataFrame, keys: list[str], ts: str, tie: str, out: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Number the rows of each key from the newest, keeping all of them."""
-    order = [F.col(ts).desc(), F.col(tie).desc()]
-    return running(df, keys, order, sums={out: F.lit(1).cast("long")}, hot_rows=hot_rows)
+    return running(df, keys, [f"{ts} desc", f"{tie} desc"], sums={out: "1"}, hot_rows=hot_rows)
 
 
 def asof_join(
@@ -64,8 +60,9 @@ def asof_join(
         F.struct(*[c for c in left.columns if c not in keys]).alias("_row"),
     )
     merged = states.unionByName(asking, allowMissingColumns=True)
-    order = [F.col("_at").asc(), F.col("_side").asc(), F.col("_tie").asc()]
-    done = running(merged, keys, order, lasts={"_found": F.col("_state")}, hot_rows=hot_rows)
+    hot = find_hot(left.select(*keys).unionByName(right.select(*keys)), keys, hot_rows)
+    order = ["_at", "_side", "_tie"]
+    done = running(merged, keys, order, lasts={"_found": "_state"}, hot=hot, hot_rows=hot_rows)
     return done.where("_side = 1").select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in left.columns],
         *[F.col(f"_found.{c}").alias(c) for c in columns],

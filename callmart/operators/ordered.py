@@ -14,9 +14,10 @@ Both branches give the same values, so results do not depend on which one a key
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmart.session import stage
@@ -37,10 +38,19 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Mapping[str, str] | list[
     return reduce(Column.__and__, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame | None, int]:
-    """Keys with more than ``hot_rows`` rows and how many rows they hold together.
+@dataclass(frozen=True)
+class Hot:
+    """Keys too big for one task (None when there are none) and how many rows they hold."""
 
-    Only the biggest ``HOT_KEYS`` are returned, which bounds the list whatever the data.
+    keys: DataFrame | None
+    rows: int
+
+
+def find_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Hot:
+    """Keys with more than ``hot_rows`` rows, from one count that combines inside each task.
+
+    Only the biggest ``HOT_KEYS`` are returned, which bounds the list whatever the data. Operators
+    count for themselves; a pipeline that uses one key several times counts once and passes it on.
     """
     n = "_hot_rows"
     found = (
@@ -52,89 +62,92 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[
         .collect()
     )
     if not found:
-        return None, 0
-    schema = df.select(*keys).schema
+        return Hot(None, 0)
     rows = [tuple(r[k] for k in keys) for r in found]
-    return df.sparkSession.createDataFrame(rows, schema), sum(r[n] for r in found)
+    return Hot(df.sparkSession.createDataFrame(rows, df.select(*keys).schema), sum(r[n] for r in found))
+
+
+def _ordering(order: list[str]) -> list[Column]:
+    """``["ts desc", "id"]`` as sort columns."""
+    words = [o.split() for o in order]
+    return [F.col(w[0]).desc() if w[-1].lower() == "desc" else F.col(w[0]).asc() for w in words]
 
 
-def _local(window, sums, maxes, lasts, prevs) -> list[Column]:
-    """The running columns within one window spec."""
-    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _local(keys: list[str], order: list[str], sums, maxes, lasts, prevs) -> list[str]:
+    """The running columns within one window, as SQL."""
+    spec = f"partition by {', '.join(keys)} order by {', '.join(order)}"
+    upto = f"({spec} rows between unbounded preceding and current row)"
     return (
-        [F.sum(c).over(upto).alias(out) for out, c in sums.items()]
-        + [F.max(c).over(upto).alias(out) for out, c in maxes.items()]
-        + [F.last(c, ignorenulls=True).over(upto).alias(out) for out, c in lasts.items()]
-        + [F.lag(c).over(window).alias(out) for out, c in prevs.items()]
+        [f"sum({e}) over {upto} as {out}" for out, e in sums.items()]
+        + [f"max({e}) over {upto} as {out}" for out, e in maxes.items()]
+        + [f"last({e}, true) over {upto} as {out}" for out, e in lasts.items()]
+        + [f"lag({e}) over ({spec}) as {out}" for out, e in prevs.items()]
     )
 
 
 def _pieced(df, keys, order, pieces, sums, maxes, lasts, prevs) -> DataFrame:
     """The same columns for hot keys, piece by piece."""
-    cut = df.repartitionByRange(pieces, *keys, *order)
+    cut = df.repartitionByRange(pieces, *keys, *_ordering(order))
     cut = stage(cut.withColumn("_piece", F.spark_partition_id()), "hot")
-    spec = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    own = {f"_own_{out}": c for out, c in prevs.items()}
-    local = cut.select(
+    within = [*keys, "_piece"]
+    spec = f"partition by {', '.join(within)} order by {', '.join(order)}"
+    local = cut.selectExpr(
         "*",
-        *_local(spec, sums, maxes, lasts, prevs),
-        *[c.alias(name) for name, c in own.items()],
-        F.row_number().over(spec).alias("_row"),
-        F.lead(F.lit(1)).over(spec).isNull().alias("_end"),
+        *_local(within, order, sums, maxes, lasts, prevs),
+        *[f"{e} as _own_{out}" for out, e in prevs.items()],
+        f"row_number() over ({spec}) as _row",
+        f"lead(1) over ({spec}) is null as _end_of_piece",
     )
 
-    by_piece = Window.partitionBy(*keys).orderBy("_piece")
-    earlier = by_piece.rowsBetween(Window.unboundedPreceding, -1)
-    before = local.where("_end").select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_piece").alias("_k_piece"),
-        *[F.sum(out).over(earlier).alias(f"_b_{out}") for out in sums],
-        *[F.max(out).over(earlier).alias(f"_b_{out}") for out in maxes],
-        *[F.last(out, ignorenulls=True).over(earlier).alias(f"_b_{out}") for out in lasts],
-        *[F.lag(f"_own_{out}").over(by_piece).alias(f"_b_{out}") for out in prevs],
+    by_piece = f"partition by {', '.join(keys)} order by _piece"
+    earlier = f"({by_piece} rows between unbounded preceding and 1 preceding)"
+    before = local.where("_end_of_piece").selectExpr(
+        *[f"{k} as _k_{k}" for k in within],
+        *[f"sum({out}) over {earlier} as _b_{out}" for out in sums],
+        *[f"max({out}) over {earlier} as _b_{out}" for out in maxes],
+        *[f"last({out}, true) over {earlier} as _b_{out}" for out in lasts],
+        *[f"lag(_own_{out}) over ({by_piece}) as _b_{out}" for out in prevs],
     )
     # One row per piece and hot key: at most HOT_PIECES + HOT_KEYS rows.
-    joined = local.join(
-        F.broadcast(before),
-        same_keys(local, before, {**{k: f"_k_{k}" for k in keys}, "_piece": "_k_piece"}),
-        "left",
+    joined = local.join(F.broadcast(before), same_keys(local, before, {k: f"_k_{k}" for k in within}), "left")
+    return joined.selectExpr(
+        *df.columns,
+        *[f"coalesce(_b_{out} + {out}, {out}, _b_{out}) as {out}" for out in sums],
+        *[f"greatest(_b_{out}, {out}) as {out}" for out in maxes],
+        *[f"coalesce({out}, _b_{out}) as {out}" for out in lasts],
+        *[f"if(_row = 1, _b_{out}, {out}) as {out}" for out in prevs],
     )
-    total = {out: F.coalesce(F.col(f"_b_{out}") + F.col(out), F.col(out), F.col(f"_b_{out}")) for out in sums}
-    total |= {out: F.greatest(f"_b_{out}", out) for out in maxes}
-    total |= {out: F.coalesce(out, f"_b_{out}") for out in lasts}
-    total |= {out: F.when(F.col("_row") == 1, F.col(f"_b_{out}")).otherwise(F.col(out)) for out in prevs}
-    return joined.select(*df.columns, *[c.alias(out) for out, c in total.items()])
 
 
 def running(
     df: DataFrame,
     keys: list[str],
-    order: list[Column],
+    order: list[str],
     *,
-    sums: Mapping[str, Column] | None = None,
-    maxes: Mapping[str, Column] | None = None,
-    lasts: Mapping[str, Column] | None = None,
-    prevs: Mapping[str, Column] | None = None,
+    sums: Mapping[str, str] | None = None,
+    maxes: Mapping[str, str] | None = None,
+    lasts: Mapping[str, str] | None = None,
+    prevs: Mapping[str, str] | None = None,
+    hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add running sums and maxima, the last known value so far, and the previous row's value.
 
-    ``order`` must end in a unique key wherever tied rows would get different values.
+    Each maps a new column to a SQL expression over the row. ``order`` (``"ts"`` or ``"ts desc"``)
+    must end in a unique key wherever tied rows would get different values.
     """
     parts = (dict(sums or {}), dict(maxes or {}), dict(lasts or {}), dict(prevs or {}))
-    names = [out for part in parts for out in part]
-    spec = Window.partitionBy(*keys).orderBy(*order)
-    plain = lambda rows: rows.select("*", *_local(spec, *parts))
+    plain = lambda rows: rows.selectExpr("*", *_local(keys, order, *parts))
 
-    hot, rows = hot_keys(df, keys, hot_rows)
-    if hot is None:
+    hot = hot or find_hot(df, keys, hot_rows)
+    if hot.keys is None:
         return plain(df)
-    hot = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-    on = same_keys(df, hot, {k: f"_h_{k}" for k in keys})
-    pieces = min(HOT_PIECES, rows // hot_rows + 2)
-    ordinary = plain(df.join(F.broadcast(hot), on, "left_anti"))
-    pieced = _pieced(df.join(F.broadcast(hot), on, "left_semi"), keys, order, pieces, *parts)
-    return ordinary.unionByName(pieced.select(*df.columns, *names))
+    listed = hot.keys.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+    on = same_keys(df, listed, {k: f"_h_{k}" for k in keys})
+    pieces = min(HOT_PIECES, hot.rows // hot_rows + 2)
+    ordinary = plain(df.join(F.broadcast(listed), on, "left_anti"))
+    hot_part = df.join(F.broadcast(listed), on, "left_semi")
+    return ordinary.unionByName(_pieced(hot_part, keys, order, pieces, *parts))
 
 
 def row_index(

@@ -16,11 +16,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmart.functions.calendar import minus, start_of_day
-from callmart.operators.ordered import HOT_ROWS, running
+from callmart.operators.ordered import HOT_ROWS, Hot, find_hot, running
 
 _BEFORE, _EVENT, _AFTER = 0, 1, 2  # sort order among rows of the same instant
 
@@ -41,15 +40,20 @@ class Trailing:
         return [self.stop] + ([self.back] if self.back else [])
 
 
-def _end(name: str, ts: Column) -> tuple[Column, int]:
+def _end(name: str, ts: str) -> tuple[str, int]:
     """Instant of a window end, and on which side of that instant's events it lies."""
     if name == UPTO:
         return ts, _AFTER
     if name == UNTIL:
         return ts, _BEFORE
     if name == MIDNIGHT:
-        return start_of_day(ts), _AFTER
-    return minus(ts, name), _BEFORE
+        return f"cast(date_trunc('DAY', {ts}) as timestamp_ntz)", _AFTER
+    return f"{ts} - interval {name}", _BEFORE
+
+
+def _mark(name: str, ts: str) -> str:
+    at, side = _end(name, ts)
+    return f"named_struct('_t', {at}, '_side', {side}, '_end', '{name}')"
 
 
 def trailing(
@@ -58,89 +62,84 @@ def trailing(
     keys: list[str],
     probe_ts: str,
     event_ts: str,
-    sums: Mapping[str, Column],
+    sums: Mapping[str, str],
     windows: Mapping[str, Trailing],
     outputs: Mapping[str, tuple[str, str]],
-    latest: Mapping[str, tuple[Column, str]] | None = None,
+    latest: Mapping[str, tuple[str, str]] | None = None,
+    hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per distinct (key, ``probe_ts``) of ``probes`` with the trailing values.
 
-    ``sums`` names expressions over ``events`` (never missing); ``outputs`` maps a result column
-    to (sum name, window name); ``latest`` maps a result column to (a nullable event time, window
-    name) and gives the newest such time inside the window. Missing keys match each other.
+    ``sums`` names whole-number SQL expressions over ``events`` (never missing); ``outputs`` maps a
+    result column to (sum name, window name); ``latest`` maps a result column to (a nullable event
+    time, window name) and gives the newest such time inside the window. Missing keys match each
+    other.
     """
     latest = dict(latest or {})
     used = {w for _, w in outputs.values()} | {w for _, w in latest.values()}
     ends = sorted({e for w in used for e in windows[w].ends})
-    tops = {f"_l_{out}": c for out, (c, _) in latest.items()}
+    kept = [f"_s_{name}" for name in sums]
+    tops = {f"_l_{out}": e for out, (e, _) in latest.items()}
 
     instants = (
         events.where(F.col(event_ts).isNotNull())
         .groupBy(*keys, F.col(event_ts).alias("_t"))
         .agg(
-            *[F.sum(c).alias(f"_s_{name}") for name, c in sums.items()],
-            *[F.max(c).alias(name) for name, c in tops.items()],
+            *[F.expr(f"sum(cast({e} as bigint)) as _s_{name}") for name, e in sums.items()],
+            *[F.expr(f"max({e}) as {top}") for top, e in tops.items()],
         )
     )
-    held = [f"_s_{name}" for name in sums] + list(tops)
-    kinds = {f.name: f.dataType for f in instants.schema}
-
-    def mark(name: str, at: Column) -> Column:
-        t, side = _end(name, at)
-        return F.struct(t.alias("_t"), F.lit(side).alias("_side"), F.lit(name).alias("_end"))
-
     if probes is events and probe_ts == event_ts:
         # The events ask about themselves: one scan, and an event row is its own UPTO end.
-        own = F.struct(
-            F.col("_t"), F.lit(_EVENT).alias("_side"), F.lit(UPTO if UPTO in ends else None).alias("_end")
+        own = f"'{UPTO}'" if UPTO in ends else "cast(null as string)"
+        marks = [f"named_struct('_t', _t, '_side', {_EVENT}, '_end', {own})"]
+        marks += [_mark(name, "_t") for name in ends if name != UPTO]
+        line = instants.selectExpr(*keys, "_t as _at", *kept, *tops, f"explode(array({', '.join(marks)})) as _m")
+        line = line.selectExpr(
+            *keys, "_at", "_m.*",
+            *[f"if(_m._side = {_EVENT}, {s}, 0L) as {s}" for s in kept],
+            *[f"if(_m._side = {_EVENT}, {top}, null) as {top}" for top in tops],
         )
-        marks = [own] + [mark(name, F.col("_t")) for name in ends if name != UPTO]
-        line = instants.select(*keys, F.col("_t").alias("_at"), *held, F.explode(F.array(*marks)).alias("_m"))
-        is_event = F.col("_m._side") == _EVENT
-        line = line.select(*keys, "_at", "_m.*", *[F.when(is_event, F.col(h)).alias(h) for h in held])
     else:
-        asked = probes.where(F.col(probe_ts).isNotNull()).select(*keys, F.col(probe_ts).alias("_at"))
-        marks = [mark(name, F.col("_at")) for name in ends]
-        marks = asked.distinct().select(*keys, "_at", F.explode(F.array(*marks)).alias("_m"))
-        line = instants.select(*keys, "_t", F.lit(_EVENT).alias("_side"), *held).unionByName(
-            marks.select(*keys, "_at", "_m.*"), allowMissingColumns=True
+        asked = probes.where(F.col(probe_ts).isNotNull()).selectExpr(*keys, f"{probe_ts} as _at").distinct()
+        marks = asked.selectExpr(*keys, "_at", f"explode(array({', '.join(_mark(n, '_at') for n in ends)})) as _m")
+        line = instants.selectExpr(*keys, "_t", f"{_EVENT} as _side", *kept, *tops).unionByName(
+            marks.selectExpr(*keys, "_at", "_m.*", *[f"0L as {s}" for s in kept]), allowMissingColumns=True
         )
-    zero = {h: F.coalesce(F.col(h), F.lit(0).cast(kinds[h])) for h in held if h.startswith("_s_")}
+    # Rows of a key before copies are summed bound its rows after; each asks for all window ends.
+    if hot is None:
+        counted = events if probes is events else events.select(*keys).unionByName(probes.select(*keys))
+        hot = find_hot(counted, keys, hot_rows // (len(ends) + 1))
     swept = running(
         line,
         keys,
-        [F.col("_t").asc(), F.col("_side").asc()],
-        sums={f"_r{h}": c for h, c in zero.items()},
-        maxes={f"_r{h}": F.col(h) for h in tops},
+        ["_t", "_side"],
+        sums={f"_r{s}": s for s in kept},
+        maxes={f"_r{top}": top for top in tops},
+        hot=hot,
         hot_rows=hot_rows,
     )
 
     results = []
     for out, (name, window) in outputs.items():
-        w, total = windows[window], F.col(f"_r_s_{name}")
-        signed = F.when(F.col("_end") == w.stop, total)
+        w, total = windows[window], f"_r_s_{name}"
+        value = f"case when _end = '{w.stop}' then {total}"
         if w.back:
-            signed = signed.when(F.col("_end") == w.back, -total)
-        value = F.sum(signed)
+            value += f" when _end = '{w.back}' then -{total}"
+        value += " end"
         if w.back and w.stop == MIDNIGHT:
             # A window shorter than a day can end before it starts; it is then empty.
-            opened = minus(F.col("_at"), w.back) <= start_of_day(F.col("_at"))
-            value = F.sum(F.when(opened, signed).otherwise(F.lit(0).cast(kinds[f"_s_{name}"])))
-        results.append(value.alias(out))
+            value = f"if({_end(w.back, '_at')[0]} <= {_end(MIDNIGHT, '_at')[0]}, {value}, 0L)"
+        results.append(f"sum({value}) as {out}")
     for out, (_, window) in latest.items():
-        w = windows[window]
-        found = F.max(F.when(F.col("_end") == w.stop, F.col(f"_r_l_{out}")))
-        if w.back:
-            since = minus(F.col("_at"), w.back)
-            found = F.max(
-                F.when((F.col("_end") == w.stop) & (F.col(f"_r_l_{out}") >= since), F.col(f"_r_l_{out}"))
-            )
-        results.append(found.alias(out))
+        w, found = windows[window], f"_r_l_{out}"
+        since = f" and {found} >= {_end(w.back, '_at')[0]}" if w.back else ""
+        results.append(f"max(if(_end = '{w.stop}'{since}, {found}, null)) as {out}")
     return (
-        swept.where(F.col("_end").isNotNull())
+        swept.where("_end is not null")
         .groupBy(*keys, "_at")
-        .agg(*results)
+        .agg(*[F.expr(r) for r in results])
         .withColumnRenamed("_at", probe_ts)
     )
 
@@ -151,7 +150,7 @@ def count_before(
     keys: list[str],
     probe_ts: str,
     event_ts: str,
-    counts: Mapping[str, Column],
+    counts: Mapping[str, str],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """How many events of the same key lie strictly before each probe, per counted condition."""
@@ -161,7 +160,7 @@ def count_before(
         keys,
         probe_ts,
         event_ts,
-        sums={out: F.when(c, 1).otherwise(0).cast("long") for out, c in counts.items()},
+        sums={out: f"if({condition}, 1, 0)" for out, condition in counts.items()},
         windows={"ever": Trailing(None, UNTIL)},
         outputs={out: (out, "ever") for out in counts},
         hot_rows=hot_rows,

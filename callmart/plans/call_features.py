@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callmart.context import RunContext
 from callmart.fixed_values import DAY_PARTS
 from callmart.functions.calendar import day_key
-from callmart.functions.decode import is_success
+from callmart.functions.decode import SUCCESS, is_success
 from callmart.operators.categories import slot_names
 from callmart.operators.history import lag_features
 from callmart.operators.joins import attach
-from callmart.operators.ordered import HOT_ROWS
+from callmart.operators.ordered import HOT_ROWS, Hot, find_hot
 from callmart.operators.trailing import MIDNIGHT, Trailing, trailing
 
 KEYS = ["phone_number", "cuid"]
@@ -26,15 +26,12 @@ WINDOWS = {
 }
 
 
-def _one(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0).cast("long")
-
-
-def with_previous_call(calls: DataFrame, tie: str = "interaction_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_previous_call(
+    calls: DataFrame, tie: str = "interaction_id", hot: Hot | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Time, result, direction and success of the previous call of the same phone and client."""
-    ok = is_success().cast("int")
     return lag_features(
-        calls.withColumn("call_result", ok),
+        calls.withColumn("call_result", is_success().cast("int")),
         KEYS,
         TS,
         tie,
@@ -44,27 +41,35 @@ def with_previous_call(calls: DataFrame, tie: str = "interaction_id", hot_rows:
             "last_interaction_type_code": "interaction_type_code",
             "last_call_result": "call_result",
         },
+        hot=hot,
         hot_rows=hot_rows,
     )
 
 
-def measures() -> dict[str, Column]:
+def measures() -> dict[str, str]:
     """What is summed per call: every count and average below is a quotient of these."""
-    ok, talk = is_success(), F.coalesce(F.col("talk_duration"), F.lit(0)).cast("long")
-    timed = ok & F.col("talk_duration").isNotNull()
-    out = {"calls": F.lit(1).cast("long"), "ok": _one(ok), "talk": F.when(ok, talk).otherwise(0), "timed": _one(timed)}
+    one = lambda condition: f"if({condition}, 1, 0)"
+    talk = lambda condition: f"if({condition}, coalesce(talk_duration, 0), 0)"
+    out = {
+        "calls": "1",
+        "ok": one(SUCCESS),
+        "talk": talk(SUCCESS),
+        "timed": one(f"{SUCCESS} and talk_duration is not null"),
+    }
     for success in (False, True):
-        also = ok if success else F.lit(True)
+        also = f" and {SUCCESS}" if success else ""
         parts, days = slot_names(success)
-        out |= {name: _one(also & (F.col("day_part") == p)) for p, name in parts.items()}
-        out |= {name: _one(also & (F.col("weekday") == d)) for d, name in days.items()}
+        out |= {name: one(f"day_part = '{p}'{also}") for p, name in parts.items()}
+        out |= {name: one(f"weekday = '{d}'{also}") for d, name in days.items()}
     for direction, short in (("OUTBOUND", "out"), ("INBOUND", "in")):
-        out[f"cnt_{short}_calls_6m"] = _one(F.col("interaction_type_code") == direction)
-        out[f"cnt_success_{short}_calls_6m"] = _one(ok & (F.col("interaction_type_code") == direction))
+        kind = f"interaction_type_code = '{direction}'"
+        out[f"cnt_{short}_calls_6m"] = one(kind)
+        out[f"cnt_success_{short}_calls_6m"] = one(f"{kind} and {SUCCESS}")
     for part in DAY_PARTS:
-        out[f"talk_{part.lower()}"] = F.when(ok & (F.col("day_part") == part), talk).otherwise(0)
+        here = f"day_part = '{part}' and {SUCCESS}"
+        out[f"talk_{part.lower()}"] = talk(here)
         # A call that is answered in this part but has no talk time is left out of the average.
-        out[f"untimed_{part.lower()}"] = _one(ok & (F.col("day_part") == part) & F.col("talk_duration").isNull())
+        out[f"untimed_{part.lower()}"] = one(f"{here} and talk_duration is null")
     return out
 
 
@@ -72,6 +77,7 @@ def trailing_features(
     calls: DataFrame,
     probes: DataFrame | None = None,
     windows: dict[str, Trailing] | None = None,
+    hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Trailing counts, averages and last success per (phone, client, call start), in one pass."""
@@ -79,7 +85,7 @@ def trailing_features(
     sums = measures()
     long_only = [m for m in sums if m not in ("calls", "ok", "talk", "timed")]
     outputs = {m: (m, "6m") for m in long_only}
-    for w in ("6m", "3m", "1m"):
+    for w in windows:
         outputs[f"cnt_calls_{w}"] = ("calls", w)
         outputs[f"cnt_successful_calls_{w}"] = ("ok", w)
         outputs[f"_talk_{w}"] = ("talk", w)
@@ -93,18 +99,17 @@ def trailing_features(
         sums,
         windows,
         outputs,
-        latest={"last_success_dtime_call2": (F.when(is_success(), F.col(TS)), "6m")},
+        latest={"last_success_dtime_call2": (f"if({SUCCESS}, {TS}, null)", "6m")},
+        hot=hot,
         hot_rows=hot_rows,
     )
     averages = {
-        f"avg_talk_{p.lower()}_6m": F.try_divide(
-            F.col(f"talk_{p.lower()}"), F.col("cnt_calls_6m") - F.col(f"untimed_{p.lower()}")
-        )
+        f"avg_talk_{p.lower()}_6m": f"try_divide(talk_{p.lower()}, cnt_calls_6m - untimed_{p.lower()})"
         for p in DAY_PARTS
     }
-    averages |= {f"avg_talk_{w}": F.try_divide(f"_talk_{w}", f"_timed_{w}") for w in ("6m", "3m", "1m")}
-    helpers = [f"talk_{p.lower()}" for p in DAY_PARTS] + [f"untimed_{p.lower()}" for p in DAY_PARTS]
-    return swept.withColumns(averages).drop(*helpers, *[f"_{n}_{w}" for n in ("talk", "timed") for w in windows])
+    averages |= {f"avg_talk_{w}": f"try_divide(_talk_{w}, _timed_{w})" for w in windows}
+    kept = [c for c in swept.columns if not c.startswith(("_", "talk_", "untimed_"))]
+    return swept.selectExpr(*kept, *[f"{e} as {out}" for out, e in averages.items()])
 
 
 def call_features(
@@ -119,8 +124,8 @@ def call_features(
 
     The windows look at the whole call log; only the calls that get a row are limited.
     """
-    with_previous = with_previous_call(calls, tie, hot_rows)
-    with_previous = with_previous.withColumn("partition_date", day_key(TS))
-    wanted = with_previous.where(F.col("partition_date") >= ctx.day_key(days))
-    # Features of all instants in one pass; the join keeps those of the wanted calls.
-    return attach(wanted, trailing_features(calls, None, windows, hot_rows), [*KEYS, TS])
+    # Both passes use the same keys; the sweep has a row per window end, hence the divisor.
+    hot = find_hot(calls, KEYS, hot_rows // 6)
+    previous = with_previous_call(calls, tie, hot, hot_rows).withColumn("partition_date", day_key(TS))
+    wanted = previous.where(F.col("partition_date") >= ctx.day_key(days))
+    return attach(wanted, trailing_features(calls, None, windows, hot, hot_rows), [*KEYS, TS])

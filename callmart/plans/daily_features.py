@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from callmart.context import RunContext
 from callmart.fixed_values import DIRECTIONS, PHONE_TYPES, WEEKDAYS
 from callmart.functions.calendar import days_since
-from callmart.functions.decode import is_success, nan_to_zero, ordinal, safe_rate
+from callmart.functions.decode import SUCCESS, nan_to_zero, ordinal, safe_rate
 from callmart.functions.phone import phone_key
 from callmart.operators.categories import slot_counts, slot_names
 from callmart.operators.dedupe import dedupe, latest_per
@@ -59,18 +59,17 @@ def ranked_contacts(contacts: DataFrame, tie: str = "contact_id") -> DataFrame:
 
 def recent_call_counts(calls: DataFrame, ctx: RunContext, span: str = SPAN, loose_days: int = LOOSE_DAYS) -> DataFrame:
     """Slot counts, last times and the first direction of the recent calls, from one grouping."""
-    ok = is_success()
-    first = F.min_by("interaction_type_code", F.struct(TS, "interaction_id"))
+    first = f"min_by(interaction_type_code, struct({TS}, interaction_id))"
     return (
         recent(calls, ctx, TS, span, loose_days)
         .groupBy(*KEYS)
         .agg(
             *slot_counts(),
-            F.count(F.when(F.col("interaction_type_code") == "INBOUND", 1)).alias("cnt_in_calls_6m"),
+            F.expr("count_if(interaction_type_code = 'INBOUND') as cnt_in_calls_6m"),
             F.max(TS).alias("last_dtime_call"),
-            F.max(F.when(ok, F.col(TS))).alias("last_success_dtime_call"),
+            F.expr(f"max(if({SUCCESS}, {TS}, null)) as last_success_dtime_call"),
             # The window's earliest call, not its latest, gives the direction.
-            first.alias("last_interaction_type"),
+            F.expr(f"{first} as last_interaction_type"),
         )
     )
 
@@ -99,9 +98,9 @@ def add_rates(df: DataFrame) -> DataFrame:
     """Ten connect rates from the slot counts; 0 where nothing was called."""
     parts, days = slot_names(False)
     ok_parts, ok_days = slot_names(True)
-    rates = {r: safe_rate(ok_parts[p], parts[p]) for p, r in PART_RATES.items()}
-    rates |= {r: safe_rate(ok_days[d], days[d]) for d, r in DAY_RATES.items()}
-    return df.withColumns({name: nan_to_zero(rate) for name, rate in rates.items()})
+    counted = {r: (ok_parts[p], parts[p]) for p, r in PART_RATES.items()}
+    counted |= {r: (ok_days[d], days[d]) for d, r in DAY_RATES.items()}
+    return df.withColumns({rate: nan_to_zero(safe_rate(*pair)) for rate, pair in counted.items()})
 
 
 def daily_features(

@@ -49,7 +49,7 @@ def message_counts(
     known = restrict_to(messages, moments, [key])
     return trailing(
         moments, known, [key], TS, ts,
-        sums={"n": F.lit(1).cast("long")},
+        sums={"n": "1"},
         windows=windows,
         outputs={f"{names}_{w}": ("n", w) for w in windows},
         hot_rows=hot_rows,
@@ -79,7 +79,7 @@ def product_counts(moments: DataFrame, cases: DataFrame, products: DataFrame, ho
     typed = restrict_to(typed, moments, ["skp_client"])
     return count_before(
         moments.where("skp_client is not null"), typed, ["skp_client"], TS, "date_decision",
-        {name: F.col("code_product_type") == code for code, name in PRODUCT_COLUMNS.items()},
+        {name: f"code_product_type = '{code}'" for code, name in PRODUCT_COLUMNS.items()},
         hot_rows=hot_rows,
     )
 
