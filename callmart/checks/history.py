@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from callmart.checks.fixtures import CTX, table, view
 from callmart.checks.registry import OK, check
 from callmart.functions.calendar import elapsed
-from callmart.functions.phone import phone_key
+from callmart.functions.phone import pair_key
 from callmart.operators import dedupe, history, joins
 from callmart.operators.trailing import MIDNIGHT, Trailing, count_before, trailing
-from callmart.plans.call_features import trailing_features, with_previous_call
+from callmart.plans.call_features import WHO_KEY, trailing_features, with_previous_call
 from callmart.plans.daily_features import ranked_contacts
 from callmart.plans.engagement import message_counts
 
@@ -46,10 +46,9 @@ AVERAGES_SQL = """avg(if(ok and day_part = 'Morning', talk_duration, 0)) as avg_
 
 
 def per_call(spark, folder, columns):
-    calls = view(spark, folder, "fx_calls")
-    features = trailing_features(calls, windows=DAY_WINDOWS)
-    ids = calls.select("interaction_id", *PAIR, TS)
-    return joins.attach(ids, features, [*PAIR, TS]).select("interaction_id", *columns)
+    calls = view(spark, folder, "fx_calls").withColumn(WHO_KEY, pair_key())
+    features = trailing_features(calls, [WHO_KEY], DAY_WINDOWS)
+    return joins.lookup(calls, features, [WHO_KEY, TS]).select("interaction_id", *columns)
 
 
 @check("trailing_days", f"select id as interaction_id, {COUNTS_SQL} from pairs group by id", pairs_sql())

@@ -336,10 +336,9 @@ def features(spark, folder):
     known = contacts.where("active_yn = 1 and official_yn = 1").withColumnRenamed("external_id", "cuid")
     roles = view(spark, folder, "cl_role")
     roles = dedupe.latest_per(roles, ["id"], "modified_ts", "role_tie")
-    types = P5.phone_types(contacts, roles, known)
-    return P5.daily_features(
-        view(spark, folder, "fx_calls"), known, types, view(spark, folder, "fx_messages"), CTX, SPAN, LOOSE
-    )
+    types = P5.phone_type_rows(contacts, roles)
+    calls, messages = view(spark, folder, "fx_calls"), view(spark, folder, "fx_messages")
+    return P5.daily_features(calls, known, types, messages, CTX, SPAN, LOOSE)
 
 
 @check("daily_features", "select * from daily", *_DAILY_SQL)

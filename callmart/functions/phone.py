@@ -32,3 +32,13 @@ def valid_phone(df: DataFrame, column: str = "phone_number") -> DataFrame:
 def counterparty(outbound: Column, contact: Column, target: Column, source: Column) -> Column:
     """The other side's number: who was called, or who called in."""
     return F.when(outbound, F.coalesce(contact, target)).otherwise(source)
+
+
+def pair_key(phone: str = "phone_number", client: str = "cuid") -> Column:
+    """Phone and client as one text that is never missing and distinguishes missing from empty.
+
+    Joining and partitioning by it treats missing parts as equal, and unlike a null-safe
+    comparison of two columns it lets windows and joins share one shuffle.
+    """
+    part = lambda prefix, c: f"coalesce(concat('{prefix}', cast({c} as string)), '')"
+    return F.expr(f"concat({part('p', phone)}, '|', {part('c', client)})")

@@ -14,13 +14,14 @@ def lag_features(
     df: DataFrame,
     keys: list[str],
     ts: str,
-    tie: str,
+    tie: str | list[str],
     columns: Mapping[str, str],
     hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Values of the previous row of the same key, all from one sort."""
-    return running(df, keys, [ts, tie], prevs=columns, hot=hot, hot_rows=hot_rows)
+    order = [ts, tie] if isinstance(tie, str) else [ts, *tie]
+    return running(df, keys, order, prevs=columns, hot=hot, hot_rows=hot_rows)
 
 
 def rank_by_recency(
@@ -56,7 +57,8 @@ def asof_join(
         *keys,
         F.col(left_ts).alias("_at"),
         F.lit(1).alias("_side"),
-        F.lit("").alias("_tie"),
+        # Left rows of one instant get one answer; the hash only lets a crowd of them be split.
+        F.xxhash64(*left.columns).cast("string").alias("_tie"),
         F.struct(*[c for c in left.columns if c not in keys]).alias("_row"),
     )
     merged = states.unionByName(asking, allowMissingColumns=True)

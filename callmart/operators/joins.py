@@ -1,8 +1,15 @@
 """Joins, each with the number of rows it may produce.
 
 No broadcast is forced: Spark broadcasts a side only when its known or measured size is under the
-session's threshold, and otherwise shuffles and splits skewed partitions. ``hint`` overrides that
-for a caller who knows better.
+session's threshold. ``hint`` overrides that for a caller who knows better.
+
+Beyond that size both sides are shuffled by the key, and one key (often the missing one) may hold a
+large part of the left rows. Adaptive execution splits such a partition, but only where both inputs
+come straight from a shuffle of their own, which a side that was just grouped or ranked by the same
+key does not. The joins here therefore compare null-safe against a right side without missing keys:
+the result of ``=``, on fresh shuffles of both sides. The right side is small by then, one row per
+key. ``in_place`` asks for a plain ``=`` that reuses the partitioning the rows already have; it is
+for keys known to be neither missing nor hot.
 """
 
 from __future__ import annotations
@@ -30,11 +37,24 @@ def _right(dim: DataFrame, on: dict[str, str], columns: list[str] | None, hint:
     return out.hint(hint) if hint else out
 
 
-def _condition(left: DataFrame, right: DataFrame, on: dict[str, str], null_safe: bool) -> Column:
-    renamed = {a: f"_on_{i}" for i, a in enumerate(on)}
-    if null_safe:
-        return same_keys(left, right, renamed)
-    return reduce(Column.__and__, [left[a] == right[b] for a, b in renamed.items()])
+def _known(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.where(" and ".join(f"`{c}` is not null" for c in columns))
+
+
+def _join(
+    left: DataFrame, right: DataFrame, on: dict[str, str], how: str, null_safe: bool = False,
+    in_place: bool = False, also: Column | None = None,
+) -> DataFrame:
+    """Join on ``_on_0``, ``_on_1``… of the right side, which stay in the result."""
+    named = {a: f"_on_{i}" for i, a in enumerate(on)}
+    if in_place:
+        condition = reduce(Column.__and__, [left[a] == right[b] for a, b in named.items()])
+    else:
+        if not null_safe:
+            right = _known(right, list(named.values()))
+            left = _known(left, list(named)) if how in ("inner", "left_semi") else left
+        condition = same_keys(left, right, named)
+    return left.join(right, condition if also is None else condition & also, how)
 
 
 def lookup(
@@ -45,6 +65,7 @@ def lookup(
     *,
     how: str = "left",
     null_safe: bool = False,
+    in_place: bool = False,
     latest_by: tuple[str, str] | None = None,
     hint: str | None = None,
 ) -> DataFrame:
@@ -57,7 +78,7 @@ def lookup(
     if latest_by:
         dim = latest_per(dim, list(on.values()), *latest_by)
     right = _right(dim, on, columns, hint)
-    joined = df.join(right, _condition(df, right, on, null_safe), how)
+    joined = _join(df, right, on, how, null_safe, in_place)
     return joined.drop(*[f"_on_{i}" for i in range(len(on))])
 
 
@@ -76,18 +97,20 @@ def star_join(fact: DataFrame, dims: list[tuple[DataFrame, Keys, list[str]]], ho
     return reduce(lambda out, d: lookup(out, d[0], d[1], d[2], how=how), dims, fact)
 
 
+def _match(df: DataFrame, keys_df: DataFrame, on: Keys, how: str, null_safe: bool) -> DataFrame:
+    """Semi or anti join. Keys are made distinct inside each task before they move."""
+    on = _pairs(on)
+    return _join(df, _right(keys_df, on, [], None).distinct(), on, how, null_safe)
+
+
 def restrict_to(df: DataFrame, keys_df: DataFrame, on: Keys, null_safe: bool = False) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys_df``; never multiplies."""
-    on = _pairs(on)
-    right = _right(keys_df, on, [], None)
-    return df.join(right, _condition(df, right, on, null_safe), "left_semi")
+    return _match(df, keys_df, on, "left_semi", null_safe)
 
 
 def missing_rows(df: DataFrame, keys_df: DataFrame, on: Keys, null_safe: bool = False) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``keys_df``."""
-    on = _pairs(on)
-    right = _right(keys_df, on, [], None)
-    return df.join(right, _condition(df, right, on, null_safe), "left_anti")
+    return _match(df, keys_df, on, "left_anti", null_safe)
 
 
 def outer_merge(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -117,9 +140,8 @@ def latest_if_before(
         *[F.col(k).alias(f"_on_{i}") for i, k in enumerate(on.values())],
         *[F.col(c).alias(f"_v_{c}") for c in wanted],
     )
-    condition = _condition(df, right, on, False) & (df[ts] >= right[f"_v_{state_ts}"])
-    joined = df.join(right, condition, "left")
-    return joined.select(*[df[c] for c in df.columns], *[F.col(f"_v_{c}").alias(c) for c in columns])
+    joined = _join(df, right, on, "left", also=F.col(ts) >= F.col(f"_v_{state_ts}"))
+    return joined.select(*df.columns, *[F.col(f"_v_{c}").alias(c) for c in columns])
 
 
 def lookup_fallback(

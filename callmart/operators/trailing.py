@@ -114,7 +114,8 @@ def trailing(
     swept = running(
         line,
         keys,
-        ["_t", "_side"],
+        # The last column only tells equal ends of a hot key apart, so that they can be split.
+        ["_t", "_side", "_at"],
         sums={f"_r{s}": s for s in kept},
         maxes={f"_r{top}": top for top in tops},
         hot=hot,
@@ -151,6 +152,7 @@ def count_before(
     probe_ts: str,
     event_ts: str,
     counts: Mapping[str, str],
+    hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """How many events of the same key lie strictly before each probe, per counted condition."""
@@ -163,5 +165,6 @@ def count_before(
         sums={out: f"if({condition}, 1, 0)" for out, condition in counts.items()},
         windows={"ever": Trailing(None, UNTIL)},
         outputs={out: (out, "ever") for out in counts},
+        hot=hot,
         hot_rows=hot_rows,
     )

@@ -9,14 +9,19 @@ from callmart.context import RunContext
 from callmart.fixed_values import DAY_PARTS
 from callmart.functions.calendar import day_key
 from callmart.functions.decode import SUCCESS, is_success
+from callmart.functions.phone import pair_key
 from callmart.operators.categories import slot_names
 from callmart.operators.history import lag_features
-from callmart.operators.joins import attach
+from callmart.operators.joins import lookup
 from callmart.operators.ordered import HOT_ROWS, Hot, find_hot
 from callmart.operators.trailing import MIDNIGHT, Trailing, trailing
 
 KEYS = ["phone_number", "cuid"]
 TS = "dtime_call_start"
+WHO_KEY = "_who"
+
+# What tells calls of one instant apart. Calls of the second source have no id of their own.
+TIES = ["interaction_id", "dtime_call_end", "code_call_result_type", "interaction_type_code", "talk_duration"]
 
 # The long window includes the call; the shorter ones stop at the midnight before it.
 WINDOWS = {
@@ -27,12 +32,16 @@ WINDOWS = {
 
 
 def with_previous_call(
-    calls: DataFrame, tie: str = "interaction_id", hot: Hot | None = None, hot_rows: int = HOT_ROWS
+    calls: DataFrame,
+    keys: list[str] = KEYS,
+    tie: list[str] = TIES,
+    hot: Hot | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Time, result, direction and success of the previous call of the same phone and client."""
     return lag_features(
         calls.withColumn("call_result", is_success().cast("int")),
-        KEYS,
+        keys,
         TS,
         tie,
         {
@@ -75,12 +84,12 @@ def measures() -> dict[str, str]:
 
 def trailing_features(
     calls: DataFrame,
-    probes: DataFrame | None = None,
+    keys: list[str] = KEYS,
     windows: dict[str, Trailing] | None = None,
     hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Trailing counts, averages and last success per (phone, client, call start), in one pass."""
+    """Trailing counts, averages and last success per key and call start, in one pass."""
     windows = windows or WINDOWS
     sums = measures()
     long_only = [m for m in sums if m not in ("calls", "ok", "talk", "timed")]
@@ -91,9 +100,9 @@ def trailing_features(
         outputs[f"_talk_{w}"] = ("talk", w)
         outputs[f"_timed_{w}"] = ("timed", w)
     swept = trailing(
-        calls if probes is None else probes,
         calls,
-        KEYS,
+        calls,
+        keys,
         TS,
         TS,
         sums,
@@ -108,7 +117,7 @@ def trailing_features(
         for p in DAY_PARTS
     }
     averages |= {f"avg_talk_{w}": f"try_divide(_talk_{w}, _timed_{w})" for w in windows}
-    kept = [c for c in swept.columns if not c.startswith(("_", "talk_", "untimed_"))]
+    kept = [c for c in swept.columns if c in keys or not c.startswith(("_", "talk_", "untimed_"))]
     return swept.selectExpr(*kept, *[f"{e} as {out}" for out, e in averages.items()])
 
 
@@ -117,15 +126,27 @@ def call_features(
     ctx: RunContext,
     days: int = 180,
     windows: dict[str, Trailing] | None = None,
-    tie: str = "interaction_id",
+    tie: list[str] = TIES,
+    keep_key: bool = False,
+    hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Calls of the last ``days`` days with previous-call and trailing features.
 
-    The windows look at the whole call log; only the calls that get a row are limited.
+    The windows look at the whole call log; only the calls that get a row are limited. The calls
+    are shuffled once, by phone and client in one key: the window of the previous call and the
+    join with the trailing features both find them in place. ``keep_key`` leaves that key
+    (``_who``) in the result for further joins.
     """
-    # Both passes use the same keys; the sweep has a row per window end, hence the divisor.
-    hot = find_hot(calls, KEYS, hot_rows // 6)
-    previous = with_previous_call(calls, tie, hot, hot_rows).withColumn("partition_date", day_key(TS))
-    wanted = previous.where(F.col("partition_date") >= ctx.day_key(days))
-    return attach(wanted, trailing_features(calls, None, windows, hot, hot_rows), [*KEYS, TS])
+    keyed = calls.withColumn(WHO_KEY, pair_key())
+    hot = hot or hot_pairs(calls, hot_rows)
+    previous = with_previous_call(keyed, [WHO_KEY], tie, hot, hot_rows)
+    wanted = previous.withColumn("partition_date", day_key(TS)).where(F.col("partition_date") >= ctx.day_key(days))
+    features = trailing_features(keyed, [WHO_KEY], windows, hot, hot_rows)
+    out = lookup(wanted, features, [WHO_KEY, TS], in_place=hot.keys is None)
+    return out if keep_key else out.drop(WHO_KEY)
+
+
+def hot_pairs(calls: DataFrame, hot_rows: int = HOT_ROWS) -> Hot:
+    """Pairs with too many calls; the sweep has a row per window end and call, hence the divisor."""
+    return find_hot(calls.select(pair_key().alias(WHO_KEY)), [WHO_KEY], hot_rows // 6)

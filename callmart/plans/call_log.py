@@ -48,7 +48,7 @@ def first_source(t: Mapping[str, DataFrame], ctx: RunContext, from_days: int = 1
         .agg(F.sum("talk_duration").alias("talk_duration"), F.max("resource_key").alias("resource_key"))
     )
     known = dedupe(t["resource"], ["resource_key"])
-    calls = lookup(facts, talk, ["interaction_id"], how="inner")
+    calls = lookup(facts, talk, ["interaction_id"], how="inner", in_place=True)
     calls = lookup(calls, known, ["resource_key"], [], how="inner")
     calls = lookup(calls, t["interaction_type"], ["interaction_type_key"], ["interaction_type", "interaction_type_code"])
 
@@ -59,31 +59,37 @@ def first_source(t: Mapping[str, DataFrame], ctx: RunContext, from_days: int = 1
         F.col("campaign_key").cast("string").alias("campaign_key"),
         F.expr("try_cast(record_field_37 as int)").cast("bigint").alias("task_id"),
     )
-    calls = lookup(calls, attempts, ["callid"])
-    calls = lookup(calls, t["call_result_type"], {"call_result_key": "id_source"}, ["code_call_result_type"])
-    calls = lookup(calls, t["campaign_type"], {"campaign_key": "id_source"}, ["name_call_campaign"])
+    # Attempts, sessions and actions share the call's id, and with it one shuffle of the calls. A
+    # call without an id gets one that nothing else has.
+    calls = calls.withColumn("call_key", F.coalesce("callid", F.concat(F.lit("\0"), "interaction_id")))
+    calls = lookup(calls, attempts, {"call_key": "callid"}, in_place=True)
+    # The newest session of each client is chosen first; older sessions lose their client.
+    sessions = latest_per(t["session"].select("id_ses", "cuid", "begin_session"), ["cuid"], "begin_session", "id_ses")
+    actions = latest_per(
+        t["session_action"].select("id_ses", "id_action", "begin_action"), ["id_ses"], "begin_action", "id_action"
+    )
+    calls = lookup(calls, sessions, {"call_key": "id_ses"}, ["cuid"], in_place=True)
+    calls = lookup(calls, actions, {"call_key": "id_ses"}, ["id_action"], in_place=True)
 
-    task_type = t["taskcalendar"].select("t_taskcalendar_id", F.col("t_tasktype_1").cast("string").alias("task_type"))
+    # Results and comments belong to a task of the calendar and are gathered by its key, so the
+    # calls move once for all three.
+    tasks = t["taskcalendar"].select(
+        F.col("t_taskcalendar_id").cast("bigint").alias("task_id"), F.col("t_tasktype_1").cast("string").alias("task_type")
+    )
     outcome = (
         t["result"]
         .groupBy("t_taskcalendar_1")
         .agg(F.min("t_resulttype_1").cast("string").alias("task_result"))
     )
     comments = dedupe(t["eventhistory"], ["t_taskcalendar_1", "resultscomment"])
-    # Results and comments belong to a task of the calendar, so they hang on its key.
-    calls = lookup(calls, task_type.withColumn("calendar_id", F.col("t_taskcalendar_id")), {"task_id": "t_taskcalendar_id"})
-    calls = lookup(calls, outcome, {"calendar_id": "t_taskcalendar_1"})
-    calls = lookup(calls, comments, {"calendar_id": "t_taskcalendar_1"})
+    tasks = lookup(tasks, outcome, {"task_id": "t_taskcalendar_1"})
+    tasks = lookup(tasks, comments, {"task_id": "t_taskcalendar_1"})
+    calls = lookup(calls, tasks, ["task_id"])
+
+    calls = lookup(calls, t["call_result_type"], {"call_result_key": "id_source"}, ["code_call_result_type"])
+    calls = lookup(calls, t["campaign_type"], {"campaign_key": "id_source"}, ["name_call_campaign"])
     calls = lookup(calls, t["camp_task_type"], {"task_type": "id_source"}, ["code_camp_task_type"])
     calls = lookup(calls, t["camp_task_result_type"], {"task_result": "id_source"}, ["code_camp_task_result_type"])
-
-    # The newest session of each client is chosen first; older sessions lose their client.
-    sessions = latest_per(t["session"].select("id_ses", "cuid", "begin_session"), ["cuid"], "begin_session", "id_ses")
-    actions = latest_per(
-        t["session_action"].select("id_ses", "id_action", "begin_action"), ["id_ses"], "begin_action", "id_action"
-    )
-    calls = lookup(calls, sessions, {"callid": "id_ses"}, ["cuid"])
-    calls = lookup(calls, actions, {"callid": "id_ses"}, ["id_action"])
     calls = lookup(calls, t["action"], {"id_action": "id"}, ["name"])
 
     hour = F.hour("dtime_call_end")

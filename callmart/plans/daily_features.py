@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmart.context import RunContext
@@ -13,9 +13,8 @@ from callmart.functions.calendar import days_since
 from callmart.functions.decode import SUCCESS, nan_to_zero, ordinal, safe_rate
 from callmart.functions.phone import phone_key
 from callmart.operators.categories import slot_counts, slot_names
-from callmart.operators.dedupe import dedupe, latest_per
 from callmart.operators.history import rank_by_recency
-from callmart.operators.joins import lookup, outer_merge, restrict_to
+from callmart.operators.joins import lookup, restrict_to
 from callmart.operators.scans import recent
 
 KEYS = ["phone_number", "cuid"]
@@ -57,21 +56,22 @@ def ranked_contacts(contacts: DataFrame, tie: str = "contact_id") -> DataFrame:
     return rank_by_recency(contacts, ["phone_number"], "modified_ts", tie, "status_last")
 
 
+def call_measures() -> list[Column]:
+    """Slot counts, last times and the first direction, over rows of the call log."""
+    when = f"if({TS} is null, null, struct({TS}, interaction_id))"
+    return [
+        *slot_counts(),
+        F.expr("count_if(interaction_type_code = 'INBOUND') as cnt_in_calls_6m"),
+        F.expr(f"max({TS}) as last_dtime_call"),
+        F.expr(f"max(if({SUCCESS}, {TS}, null)) as last_success_dtime_call"),
+        # The window's earliest call, not its latest, gives the direction.
+        F.expr(f"min_by(interaction_type_code, {when}) as last_interaction_type"),
+    ]
+
+
 def recent_call_counts(calls: DataFrame, ctx: RunContext, span: str = SPAN, loose_days: int = LOOSE_DAYS) -> DataFrame:
-    """Slot counts, last times and the first direction of the recent calls, from one grouping."""
-    first = f"min_by(interaction_type_code, struct({TS}, interaction_id))"
-    return (
-        recent(calls, ctx, TS, span, loose_days)
-        .groupBy(*KEYS)
-        .agg(
-            *slot_counts(),
-            F.expr("count_if(interaction_type_code = 'INBOUND') as cnt_in_calls_6m"),
-            F.max(TS).alias("last_dtime_call"),
-            F.expr(f"max(if({SUCCESS}, {TS}, null)) as last_success_dtime_call"),
-            # The window's earliest call, not its latest, gives the direction.
-            F.expr(f"{first} as last_interaction_type"),
-        )
-    )
+    """The call measures of each (phone, client) in the window."""
+    return recent(calls, ctx, TS, span, loose_days).groupBy(*KEYS).agg(*call_measures())
 
 
 def recent_messages(messages: DataFrame, ctx: RunContext, span: str = SPAN, loose_days: int = LOOSE_DAYS) -> DataFrame:
@@ -83,15 +83,14 @@ def recent_messages(messages: DataFrame, ctx: RunContext, span: str = SPAN, loos
     )
 
 
-def phone_types(contacts: DataFrame, roles: DataFrame, registered: DataFrame) -> DataFrame:
-    """Phone type of each registered (phone, client) by the newest role record."""
-    held = lookup(contacts.select("phone_number", "party_role_id", "classification", "contact_id"),
-                  roles, {"party_role_id": "id"}, ["external_id", "modified_ts"], how="inner")
-    held = held.where("external_id is not null and phone_number is not null").withColumnRenamed("external_id", "cuid")
-    held = restrict_to(held, registered, KEYS)
-    return latest_per(held, KEYS, "modified_ts", "contact_id").select(
-        *KEYS, F.col("classification").alias("phone_type")
+def phone_type_rows(contacts: DataFrame, roles: DataFrame) -> DataFrame:
+    """Contact rows with their role's client and the time of the role record."""
+    held = lookup(
+        contacts.select("phone_number", "party_role_id", "classification", "contact_id"),
+        roles, {"party_role_id": "id"}, ["external_id", "modified_ts"], how="inner",
     )
+    held = held.where("external_id is not null and phone_number is not null")
+    return held.withColumnRenamed("external_id", "cuid")
 
 
 def add_rates(df: DataFrame) -> DataFrame:
@@ -114,22 +113,43 @@ def daily_features(
 ) -> DataFrame:
     """The feature table the daily model reads.
 
-    ``contacts`` holds the registered (phone, client) rows and ``types`` one phone type per pair.
-    Registered pairs without calls and called pairs without registration both get a row; calls of
-    an unknown client do not.
+    ``contacts`` holds the registered (phone, client) rows; ``types`` the contact rows that tell a
+    pair's phone type, of which the newest counts if the pair is registered. Registered pairs
+    without calls and called pairs without registration both get a row; calls of an unknown client
+    do not.
+
+    The three inputs are stacked and grouped by pair at once. That is the full join of the pairs,
+    with one shuffle of rows that each task has already combined, so no pair is ever hot.
     """
-    counted = recent_call_counts(calls.where("cuid is not null"), ctx, span, loose_days)
-    registered = dedupe(contacts, KEYS).withColumn("_registered", F.lit(1))
-    merged = outer_merge(registered, counted, KEYS).where("cuid is not null")
-    merged = lookup(merged, types, KEYS, ["phone_type"])
+    log = recent(calls, ctx, TS, span, loose_days).select(
+        *KEYS, "interaction_id", TS, "day_part", "weekday", "talk_duration", "interaction_type_code", "code_call_result_type"
+    )
+    stacked = log.unionByName(
+        contacts.select(*KEYS, F.lit(1).alias("registered")), allowMissingColumns=True
+    ).unionByName(
+        types.select(*KEYS, "classification", F.struct("modified_ts", "contact_id").alias("typed_at")),
+        allowMissingColumns=True,
+    )
+    merged = (
+        stacked.where("cuid is not null")
+        .groupBy(*KEYS)
+        .agg(
+            *call_measures(),
+            F.max("registered").alias("registered"),
+            F.expr("max_by(classification, typed_at) as phone_type"),
+        )
+        # A pair that only a contact row tells of, but that is neither registered nor called.
+        .where("registered = 1 or last_dtime_call is not null")
+    )
     merged = lookup(merged, recent_messages(messages, ctx, span, loose_days), ["phone_number"], ["cnt_success_sms_6m"])
+    registered = F.col("registered").isNotNull() & F.col("phone_number").isNotNull()
     return add_rates(merged).select(
         *KEYS,
-        F.when(F.col("_registered").isNotNull() & F.col("phone_number").isNotNull(), "1").otherwise("0").alias("pif_finded_status"),
+        F.when(registered, "1").otherwise("0").alias("pif_finded_status"),
         *PART_RATES.values(),
         *DAY_RATES.values(),
         F.coalesce("cnt_in_calls_6m", F.lit(0)).alias("cnt_in_calls_6m"),
-        ordinal("phone_type", PHONE_TYPES).alias("pif_phone_type_code"),
+        ordinal(F.when(registered, F.col("phone_type")), PHONE_TYPES).alias("pif_phone_type_code"),
         days_since("last_success_dtime_call", ctx).alias("past_days_last_succ_call"),
         days_since("last_dtime_call", ctx).alias("past_days_last_call"),
         F.coalesce("cnt_success_sms_6m", F.lit(0)).alias("cnt_success_sms_6m"),

@@ -27,7 +27,7 @@ from callmart.functions.decode import one_hot, outside_set_flag
 from callmart.functions.phone import phone_key
 from callmart.operators.dedupe import first_per, latest_per
 from callmart.operators.joins import attach, kv_param, latest_if_before, lookup, restrict_to
-from callmart.operators.ordered import HOT_ROWS
+from callmart.operators.ordered import HOT_ROWS, find_hot
 from callmart.operators.scans import exclude_like, in_list, scan_range
 from callmart.operators.trailing import Trailing, count_before, trailing
 from callmart.session import stage
@@ -46,12 +46,14 @@ def message_counts(
     windows: Mapping[str, Trailing] = WINDOWS, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Messages of a key in the windows before each moment; 0 where there were none."""
-    known = restrict_to(messages, moments, [key])
+    asked = moments.where(F.col(key).isNotNull())
+    hot = find_hot(messages.select(key).unionByName(asked.select(key)), [key], hot_rows // 5)
     return trailing(
-        moments, known, [key], TS, ts,
+        asked, restrict_to(messages, asked, [key]), [key], TS, ts,
         sums={"n": "1"},
         windows=windows,
         outputs={f"{names}_{w}": ("n", w) for w in windows},
+        hot=hot,
         hot_rows=hot_rows,
     )
 
@@ -61,7 +63,6 @@ def vehicles(moments: DataFrame, records: DataFrame) -> DataFrame:
     cars = exclude_like(records.where("cuid is not null"), "automodel", TRAILER_PATTERNS).select(
         "cuid", epoch_ms_to_ts("req_ts").alias("dtime_request_car"), "tie"
     )
-    cars = restrict_to(cars, moments, {"cuid": "id_cuid"})
     out = latest_if_before(moments, cars, {"id_cuid": "cuid"}, TS, "dtime_request_car", "tie", ["dtime_request_car"])
     return out.withColumns(
         {
@@ -76,22 +77,21 @@ def product_counts(moments: DataFrame, cases: DataFrame, products: DataFrame, ho
     granted = in_list(cases, "skp_credit_status", ACTIVE_CREDIT_STATES)
     typed = lookup(granted, products, ["skp_product"], ["code_product_type"], how="inner")
     typed = typed.where(F.col("skp_client").isNotNull() & F.col("code_product_type").isin(list(PRODUCT_COLUMNS)))
-    typed = restrict_to(typed, moments, ["skp_client"])
+    asked = moments.where("skp_client is not null")
+    hot = find_hot(granted.select("skp_client").unionByName(asked.select("skp_client")), ["skp_client"], hot_rows // 2)
     return count_before(
-        moments.where("skp_client is not null"), typed, ["skp_client"], TS, "date_decision",
+        asked, restrict_to(typed, asked, ["skp_client"]), ["skp_client"], TS, "date_decision",
         {name: f"code_product_type = '{code}'" for code, name in PRODUCT_COLUMNS.items()},
+        hot=hot,
         hot_rows=hot_rows,
     )
 
 
 def device_flags(moments: DataFrame, devices: DataFrame) -> DataFrame:
     """Maker, operator and time zone of the client's first device record, once it existed."""
-    first = first_per(
-        restrict_to(devices, moments, {"cuid": "id_cuid"}).where("inserted_date is not null"),
-        ["cuid"], "inserted_date", "tie",
-    )
+    first = first_per(devices.where("inserted_date is not null"), ["cuid"], "inserted_date", "tie")
     first = first.select(
-        F.col("cuid").alias("d_cuid"),
+        "cuid",
         "inserted_date",
         *one_hot(
             "device_manufacturer",
@@ -101,8 +101,10 @@ def device_flags(moments: DataFrame, devices: DataFrame) -> DataFrame:
         "networkoperatorname",
         outside_set_flag("timezoneid", HOME_TIME_ZONES).alias("flag_diff_time_zone"),
     )
-    seen = (moments["id_cuid"] == first["d_cuid"]) & (first["inserted_date"] < moments[TS])
-    return moments.join(first, seen, "left").drop("d_cuid", "inserted_date")
+    flags = [c for c in first.columns if c not in ("cuid", "inserted_date")]
+    known = F.col("inserted_date") < F.col(TS)
+    out = lookup(moments, first, {"id_cuid": "cuid"})
+    return out.select(*moments.columns, *[F.when(known, F.col(c)).alias(c) for c in flags])
 
 
 def newest_alerts(headers: DataFrame, params: DataFrame, ctx: RunContext) -> DataFrame:
@@ -154,12 +156,16 @@ def engagement(
     windows: Mapping[str, Trailing] = WINDOWS,
     alert_span: str = ALERT_SPAN,
     moments: DataFrame | None = None,
+    on: list[str] | None = None,
+    stay: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add all engagement columns to ``calls``, which carry the columns of ``WHO``.
 
-    ``moments`` are the distinct ``WHO`` rows of the calls, for a caller with a shorter way to
-    them. They are staged: six feature groups read them.
+    A caller with a shorter way to the distinct moments of its calls gives them, and names the
+    columns ``on`` which calls and moments share a key that is never missing; ``stay`` says that
+    the calls are partitioned by it and no key is hot. The moments are staged: six feature groups
+    read them.
     """
     moments = stage(calls.select(*WHO).distinct() if moments is None else moments, "moments")
 
@@ -174,11 +180,14 @@ def engagement(
     out = vehicles(moments, t["vehicle"])
     out = device_flags(out, t["device"])
     out = alert_flags(out, newest_alerts(t["alert"], t["alert_param"], ctx), alert_span)
-    out = attach(out, by_push, ["id_cuid", TS])
-    out = attach(out, by_text, ["phone_number", TS])
-    out = attach(out, by_product, ["skp_client", TS])
+    out = lookup(out, by_push, ["id_cuid", TS])
+    out = lookup(out, by_text, ["phone_number", TS])
+    out = lookup(out, by_product, ["skp_client", TS])
     counted = [c for df in (by_push, by_text, by_product) for c in df.columns if c.startswith("cnt_")]
-    return attach(calls, out.na.fill(0, counted), WHO)
+    out = out.na.fill(0, counted)
+    if on is None:
+        return attach(calls, out, WHO)
+    return lookup(calls, out, on, [c for c in out.columns if c not in (*WHO, *on)], in_place=stay)
 
 
 def since_last_call(calls: DataFrame) -> DataFrame:

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 
 from callmart.context import RunContext
 from callmart.functions.calendar import day_key
-from callmart.operators.joins import attach
+from callmart.functions.phone import pair_key
+from callmart.operators.joins import lookup
 from callmart.operators.ordered import HOT_ROWS
 from callmart.operators.trailing import Trailing
-from callmart.plans.call_features import call_features
+from callmart.plans.call_features import WHO_KEY, call_features, hot_pairs
 from callmart.plans.client_attributes import PAIR, client_attributes
 from callmart.plans.engagement import ALERT_SPAN, TS, WHO, WINDOWS, engagement, since_last_call
 from callmart.session import stage
@@ -28,11 +29,21 @@ def training_frame(
     alert_span: str = ALERT_SPAN,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Call features, client attributes and engagement joined; ``call_result`` is the label."""
-    featured = call_features(calls, ctx, days, call_windows, hot_rows=hot_rows)
-    attributes = stage(client_attributes(calls, clients, ctx), "attributes")
-    called = calls.where(day_key(TS) >= ctx.day_key(days)).select(*PAIR, TS).distinct()
-    moments = attach(called, attributes, PAIR).select(*WHO).distinct()
-    named = attach(featured, attributes, PAIR)
-    whole = engagement(named, contacts_made, ctx, message_windows, alert_span, moments, hot_rows)
-    return since_last_call(whole)
+    """Call features, client attributes and engagement joined; ``call_result`` is the label.
+
+    The wide call rows are shuffled once, by phone and client: everything is joined to them by
+    that key, or by it and the time of the call. Only when a pair is too big for one task do the
+    joins shuffle anew.
+    """
+    hot = hot_pairs(calls, hot_rows)
+    stay = hot.keys is None
+    featured = call_features(calls, ctx, days, call_windows, keep_key=True, hot=hot, hot_rows=hot_rows)
+    attributes = client_attributes(calls, clients, ctx).withColumn(WHO_KEY, pair_key()).drop(*PAIR)
+    attributes = stage(attributes, "attributes")
+    named = lookup(featured, attributes, [WHO_KEY], in_place=stay)
+
+    called = calls.where(day_key(TS) >= ctx.day_key(days)).select("phone_number", pair_key().alias(WHO_KEY), TS)
+    moments = lookup(called.distinct(), attributes, [WHO_KEY]).select(WHO_KEY, *WHO)
+    on = [WHO_KEY, TS]
+    whole = engagement(named, contacts_made, ctx, message_windows, alert_span, moments, on, stay, hot_rows)
+    return since_last_call(whole).drop(WHO_KEY)
