@@ -28,7 +28,8 @@ def pairs(spark, folder):
 def join_inner_agg(spark, folder):
     talk = view(spark, folder, "fx_calls").groupBy("cuid").agg(F.sum("talk_duration").alias("sum_talk"))
     newest = view(spark, folder, "fx_alerts").groupBy("iin_key").agg(F.max("id").alias("max_id"))
-    return joins.lookup(talk, newest, {"cuid": "iin_key"}, how="inner")
+    # Both sides were just grouped by the key and have one row per key: they join where they are.
+    return joins.lookup(talk, newest, {"cuid": "iin_key"}, how="inner", in_place=True)
 
 
 @check(

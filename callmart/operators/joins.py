@@ -113,14 +113,17 @@ def missing_rows(df: DataFrame, keys_df: DataFrame, on: Keys, null_safe: bool =
     return _match(df, keys_df, on, "left_anti", null_safe)
 
 
-def outer_merge(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join with one set of key columns; missing keys match each other.
+def outer_merge(a: DataFrame, b: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """Full outer join with one set of key columns.
 
-    Both sides must have one row per key, which is also what keeps any key from being hot.
+    Both sides must have one row per key, which is also what keeps any key from being hot. Rows
+    with a missing key stay apart unless ``null_safe`` makes missing keys match each other.
     """
     right = b.select(*[F.col(c).alias(f"_b_{c}") for c in b.columns])
     left = a.withColumn("_in_a", F.lit(1))
-    joined = left.join(right, same_keys(left, right, {k: f"_b_{k}" for k in keys}), "full")
+    on = {k: f"_b_{k}" for k in keys}
+    plain = reduce(Column.__and__, [left[x] == right[y] for x, y in on.items()])
+    joined = left.join(right, same_keys(left, right, on) if null_safe else plain, "full")
     from_a = F.col("_in_a").isNotNull()
     return joined.select(
         *[F.when(from_a, F.col(k)).otherwise(F.col(f"_b_{k}")).alias(k) for k in keys],

@@ -95,7 +95,7 @@ def _pieced(df, keys, order, pieces, sums, maxes, lasts, prevs) -> DataFrame:
         "*",
         *_local(within, order, sums, maxes, lasts, prevs),
         *[f"{e} as _own_{out}" for out, e in prevs.items()],
-        f"row_number() over ({spec}) as _row",
+        f"row_number() over ({spec}) as _row_of_piece",
         f"lead(1) over ({spec}) is null as _end_of_piece",
     )
 
@@ -115,7 +115,7 @@ def _pieced(df, keys, order, pieces, sums, maxes, lasts, prevs) -> DataFrame:
         *[f"coalesce(_b_{out} + {out}, {out}, _b_{out}) as {out}" for out in sums],
         *[f"greatest(_b_{out}, {out}) as {out}" for out in maxes],
         *[f"coalesce({out}, _b_{out}) as {out}" for out in lasts],
-        *[f"if(_row = 1, _b_{out}, {out}) as {out}" for out in prevs],
+        *[f"if(_row_of_piece = 1, _b_{out}, {out}) as {out}" for out in prevs],
     )
 
 
