@@ -26,6 +26,8 @@ from callmart.session import stage
 HOT_ROWS = 1_000_000
 # The biggest keys that are looked at. A key outside this list holds under 1/10,000 of all rows.
 HOT_KEYS = 10_000
+# Hot rows are cut finer than a task's worth, so that the pieces spread evenly over the tasks.
+PIECES_PER_TASK = 8
 # Most pieces the hot rows are cut into; beyond it the pieces grow.
 HOT_PIECES = 20_000
 
@@ -129,12 +131,14 @@ def running(
     lasts: Mapping[str, str] | None = None,
     prevs: Mapping[str, str] | None = None,
     hot: Hot | None = None,
+    weight: int = 1,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add running sums and maxima, the last known value so far, and the previous row's value.
 
     Each maps a new column to a SQL expression over the row. ``order`` (``"ts"`` or ``"ts desc"``)
-    must end in a unique key wherever tied rows would get different values.
+    must end in a unique key wherever tied rows would get different values. ``weight`` is how many
+    rows there are here for one row that ``hot`` counted.
     """
     parts = (dict(sums or {}), dict(maxes or {}), dict(lasts or {}), dict(prevs or {}))
     plain = lambda rows: rows.selectExpr("*", *_local(keys, order, *parts))
@@ -144,7 +148,7 @@ def running(
         return plain(df)
     listed = hot.keys.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
     on = same_keys(df, listed, {k: f"_h_{k}" for k in keys})
-    pieces = min(HOT_PIECES, hot.rows // hot_rows + 2)
+    pieces = min(HOT_PIECES, hot.rows * weight // max(1, hot_rows // PIECES_PER_TASK) + 2)
     ordinary = plain(df.join(F.broadcast(listed), on, "left_anti"))
     hot_part = df.join(F.broadcast(listed), on, "left_semi")
     return ordinary.unionByName(_pieced(hot_part, keys, order, pieces, *parts))

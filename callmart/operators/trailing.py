@@ -51,9 +51,9 @@ def _end(name: str, ts: str) -> tuple[str, int]:
     return f"{ts} - interval {name}", _BEFORE
 
 
-def _mark(name: str, ts: str) -> str:
+def _mark(number: int, name: str, ts: str) -> str:
     at, side = _end(name, ts)
-    return f"named_struct('_t', {at}, '_side', {side}, '_end', '{name}')"
+    return f"named_struct('_t', {at}, '_side', {side}, '_end', {number})"
 
 
 def trailing(
@@ -78,7 +78,7 @@ def trailing(
     """
     latest = dict(latest or {})
     used = {w for _, w in outputs.values()} | {w for _, w in latest.values()}
-    ends = sorted({e for w in used for e in windows[w].ends})
+    ends = {e: i for i, e in enumerate(sorted({e for w in used for e in windows[w].ends}))}
     kept = [f"_s_{name}" for name in sums]
     tops = {f"_l_{out}": e for out, (e, _) in latest.items()}
 
@@ -92,9 +92,9 @@ def trailing(
     )
     if probes is events and probe_ts == event_ts:
         # The events ask about themselves: one scan, and an event row is its own UPTO end.
-        own = f"'{UPTO}'" if UPTO in ends else "cast(null as string)"
+        own = ends.get(UPTO, "cast(null as int)")
         marks = [f"named_struct('_t', _t, '_side', {_EVENT}, '_end', {own})"]
-        marks += [_mark(name, "_t") for name in ends if name != UPTO]
+        marks += [_mark(i, name, "_t") for name, i in ends.items() if name != UPTO]
         line = instants.selectExpr(*keys, "_t as _at", *kept, *tops, f"explode(array({', '.join(marks)})) as _m")
         line = line.selectExpr(
             *keys, "_at", "_m.*",
@@ -103,14 +103,16 @@ def trailing(
         )
     else:
         asked = probes.where(F.col(probe_ts).isNotNull()).selectExpr(*keys, f"{probe_ts} as _at").distinct()
-        marks = asked.selectExpr(*keys, "_at", f"explode(array({', '.join(_mark(n, '_at') for n in ends)})) as _m")
+        marks = ", ".join(_mark(i, name, "_at") for name, i in ends.items())
+        marks = asked.selectExpr(*keys, "_at", f"explode(array({marks})) as _m")
         line = instants.selectExpr(*keys, "_t", f"{_EVENT} as _side", *kept, *tops).unionByName(
             marks.selectExpr(*keys, "_at", "_m.*", *[f"0L as {s}" for s in kept]), allowMissingColumns=True
         )
     # Rows of a key before copies are summed bound its rows after; each asks for all window ends.
+    weight = len(ends) + 1
     if hot is None:
         counted = events if probes is events else events.select(*keys).unionByName(probes.select(*keys))
-        hot = find_hot(counted, keys, hot_rows // (len(ends) + 1))
+        hot = find_hot(counted, keys, hot_rows // weight)
     swept = running(
         line,
         keys,
@@ -119,15 +121,16 @@ def trailing(
         sums={f"_r{s}": s for s in kept},
         maxes={f"_r{top}": top for top in tops},
         hot=hot,
+        weight=weight,
         hot_rows=hot_rows,
     )
 
     results = []
     for out, (name, window) in outputs.items():
         w, total = windows[window], f"_r_s_{name}"
-        value = f"case when _end = '{w.stop}' then {total}"
+        value = f"case when _end = {ends[w.stop]} then {total}"
         if w.back:
-            value += f" when _end = '{w.back}' then -{total}"
+            value += f" when _end = {ends[w.back]} then -{total}"
         value += " end"
         if w.back and w.stop == MIDNIGHT:
             # A window shorter than a day can end before it starts; it is then empty.
@@ -136,7 +139,7 @@ def trailing(
     for out, (_, window) in latest.items():
         w, found = windows[window], f"_r_l_{out}"
         since = f" and {found} >= {_end(w.back, '_at')[0]}" if w.back else ""
-        results.append(f"max(if(_end = '{w.stop}'{since}, {found}, null)) as {out}")
+        results.append(f"max(if(_end = {ends[w.stop]}{since}, {found}, null)) as {out}")
     return (
         swept.where("_end is not null")
         .groupBy(*keys, "_at")
