@@ -23,3 +23,7 @@ class RunContext:
     def now(self) -> Column:
         """``as_of`` as a zone-free timestamp literal."""
         return F.lit(self.as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+
+    def midnight(self, days_back: int) -> str:
+        """Start of the day ``day_key(days_back)`` as a timestamp in SQL."""
+        return f"timestamp_ntz '{(self.as_of - timedelta(days=days_back)).date()} 00:00:00'"

@@ -66,6 +66,7 @@ def trailing(
     windows: Mapping[str, Trailing],
     outputs: Mapping[str, tuple[str, str]],
     latest: Mapping[str, tuple[str, str]] | None = None,
+    since: str | None = None,
     hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -74,7 +75,8 @@ def trailing(
     ``sums`` names whole-number SQL expressions over ``events`` (never missing); ``outputs`` maps a
     result column to (sum name, window name); ``latest`` maps a result column to (a nullable event
     time, window name) and gives the newest such time inside the window. Missing keys match each
-    other.
+    other. With ``since``, a timestamp in SQL, only probes from then on are answered, and events too
+    old for any of their windows are not read.
     """
     latest = dict(latest or {})
     used = {w for _, w in outputs.values()} | {w for _, w in latest.values()}
@@ -82,8 +84,15 @@ def trailing(
     kept = [f"_s_{name}" for name in sums]
     tops = {f"_l_{out}": e for out, (e, _) in latest.items()}
 
+    backs = [windows[w].back for w in used]
+    kept_events = events.where(F.col(event_ts).isNotNull())
+    if since and all(backs):
+        # From the start of that day, as clamped months are not in order within it.
+        oldest = ", ".join(f"date_trunc('DAY', {since} - interval {b})" for b in sorted({*backs}))
+        oldest = f"least({oldest}, {since})" if len({*backs}) > 1 else oldest
+        kept_events = kept_events.where(f"{event_ts} >= cast({oldest} as timestamp_ntz)")
     instants = (
-        events.where(F.col(event_ts).isNotNull())
+        kept_events
         .groupBy(*keys, F.col(event_ts).alias("_t"))
         .agg(
             *[F.expr(f"sum(cast({e} as bigint)) as _s_{name}") for name, e in sums.items()],
@@ -93,16 +102,19 @@ def trailing(
     if probes is events and probe_ts == event_ts:
         # The events ask about themselves: one scan, and an event row is its own UPTO end.
         own = ends.get(UPTO, "cast(null as int)")
-        marks = [f"named_struct('_t', _t, '_side', {_EVENT}, '_end', {own})"]
-        marks += [_mark(i, name, "_t") for name, i in ends.items() if name != UPTO]
-        line = instants.selectExpr(*keys, "_t as _at", *kept, *tops, f"explode(array({', '.join(marks)})) as _m")
+        itself = f"named_struct('_t', _t, '_side', {_EVENT}, '_end', {{}})"
+        marks = [itself.format(own)] + [_mark(i, name, "_t") for name, i in ends.items() if name != UPTO]
+        marks = f"array({', '.join(marks)})"
+        if since:
+            marks = f"if(_t >= {since}, {marks}, array({itself.format('cast(null as int)')}))"
+        line = instants.selectExpr(*keys, "_t as _at", *kept, *tops, f"explode({marks}) as _m")
         line = line.selectExpr(
             *keys, "_at", "_m.*",
             *[f"if(_m._side = {_EVENT}, {s}, 0L) as {s}" for s in kept],
             *[f"if(_m._side = {_EVENT}, {top}, null) as {top}" for top in tops],
         )
     else:
-        asked = probes.where(F.col(probe_ts).isNotNull()).selectExpr(*keys, f"{probe_ts} as _at").distinct()
+        asked = probes.where(f"{probe_ts} >= {since}" if since else f"{probe_ts} is not null").selectExpr(*keys, f"{probe_ts} as _at").distinct()
         marks = ", ".join(_mark(i, name, "_at") for name, i in ends.items())
         marks = asked.selectExpr(*keys, "_at", f"explode(array({marks})) as _m")
         line = instants.selectExpr(*keys, "_t", f"{_EVENT} as _side", *kept, *tops).unionByName(

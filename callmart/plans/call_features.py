@@ -11,6 +11,7 @@ from callmart.functions.calendar import day_key
 from callmart.functions.decode import SUCCESS, is_success
 from callmart.functions.phone import pair_key
 from callmart.operators.categories import slot_names
+from callmart.operators.dedupe import top_per
 from callmart.operators.history import lag_features
 from callmart.operators.joins import lookup
 from callmart.operators.ordered import HOT_ROWS, Hot, find_hot
@@ -86,6 +87,7 @@ def trailing_features(
     calls: DataFrame,
     keys: list[str] = KEYS,
     windows: dict[str, Trailing] | None = None,
+    since: str | None = None,
     hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -109,6 +111,7 @@ def trailing_features(
         windows,
         outputs,
         latest={"last_success_dtime_call2": (f"if({SUCCESS}, {TS}, null)", "6m")},
+        since=since,
         hot=hot,
         hot_rows=hot_rows,
     )
@@ -133,16 +136,24 @@ def call_features(
 ) -> DataFrame:
     """Calls of the last ``days`` days with previous-call and trailing features.
 
-    The windows look at the whole call log; only the calls that get a row are limited. The calls
-    are shuffled once, by phone and client in one key: the window of the previous call and the
+    The windows look back as far as they reach; only the calls that get a row are limited, so a
+    nightly run asks for ``days=1`` and sweeps half a year once. The calls are shuffled once, by phone and client in one key: the window of the previous call and the
     join with the trailing features both find them in place. ``keep_key`` leaves that key
     (``_who``) in the result for further joins.
     """
     keyed = calls.withColumn(WHO_KEY, pair_key())
     hot = hot or hot_pairs(calls, hot_rows)
-    previous = with_previous_call(keyed, [WHO_KEY], tie, hot, hot_rows)
-    wanted = previous.withColumn("partition_date", day_key(TS)).where(F.col("partition_date") >= ctx.day_key(days))
-    features = trailing_features(keyed, [WHO_KEY], windows, hot, hot_rows)
+    since = ctx.midnight(days)
+
+    # Of the calls before the first wanted one, only the newest of each pair can be a previous call.
+    carried = dict.fromkeys([WHO_KEY, TS, *tie, "talk_duration", "code_call_result_type", "interaction_type_code"])
+    before = keyed.where(f"{TS} < {since}").select(*carried)
+    before = top_per(before, [WHO_KEY], [F.col(c).desc() for c in (TS, *tie)])
+    candidates = keyed.where(f"{TS} >= {since}").unionByName(before, allowMissingColumns=True)
+    previous = with_previous_call(candidates, [WHO_KEY], tie, hot, hot_rows)
+    wanted = previous.where(f"{TS} >= {since}").withColumn("partition_date", day_key(TS))
+
+    features = trailing_features(keyed, [WHO_KEY], windows, since, hot, hot_rows)
     out = lookup(wanted, features, [WHO_KEY, TS], in_place=hot.keys is None)
     return out if keep_key else out.drop(WHO_KEY)
 

@@ -18,10 +18,20 @@ RUN_LOG_SCHEMA = (
 )
 
 
-def refresh_partitions(df: DataFrame, path: str, column: str = "part_date") -> None:
+def _packed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Bring rows of a partition together for writing; adaptive execution splits big partitions.
+
+    Worth its shuffle when many days are written at once, as every task would else open a file in
+    every day.
+    """
+    return df.hint("rebalance", *columns)
+
+
+def refresh_partitions(df: DataFrame, path: str, column: str = "part_date", pack: bool = False) -> None:
     """Replace the partitions that occur in ``df`` and leave all others alone."""
     (
-        df.write.mode("overwrite")
+        (_packed(df, [column]) if pack else df)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(path)
@@ -39,8 +49,11 @@ def rebuild(
     path: str,
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
+    pack: bool = False,
 ) -> None:
     """Replace a whole table, optionally partitioned, with rows sorted inside each file."""
+    if pack and partition_by:
+        df = _packed(df, partition_by)
     if sort_by:
         # Spark sorts by the partition columns for the writer; put them first to sort once.
         df = df.sortWithinPartitions(*(partition_by or []), *sort_by)

@@ -298,3 +298,32 @@ def test_reconcile_counts_rows_and_keys(spark):
 def test_boundary_check_names_what_is_missing(spark):
     with pytest.raises(ValueError, match="calls lacks columns: b"):
         require_columns(spark.range(1), ["id", "b"], "calls")
+
+
+@pytest.mark.parametrize("days", [1, 5, 40])
+def test_one_night_gives_the_rows_of_the_whole(spark, days):
+    """Asking for the last days only changes which calls get a row, not what they get."""
+    rows = [call(i, str(i % 3), i % 2 or None, datetime(2024, 1 + i % 8, 1 + i % 28, i % 24), i % 3) for i in range(300)]
+    rows += [call(1000 + h, "1", 1, datetime(2024, 8, 31, h)) for h in range(5)]
+    whole = call_features(calls(spark, *rows), CTX, days=400)
+    part = call_features(calls(spark, *rows), CTX, days=days)
+    columns = sorted(whole.columns)
+    wanted = whole.where(F.col("partition_date") >= CTX.day_key(days))
+    text = lambda df: sorted(map(str, df.select(columns).collect()))
+    assert text(part) == text(wanted) and part.count() >= 5
+
+
+def test_since_with_clamped_months(spark):
+    """The first probe's month bound lies later than the second's."""
+    at = [datetime(2024, 2, 29, 12), datetime(2024, 8, 30, 23), datetime(2024, 8, 31, 1)]
+    df = spark.createDataFrame([("k", t) for t in at], "key string, ts timestamp_ntz")
+    got = trailing(
+        df, df, ["key"], "ts", "ts", {"n": "1"}, {"w": Trailing("6 MONTHS")}, {"n": ("n", "w")},
+        since="timestamp_ntz '2024-08-30 23:00:00'",
+    )
+    assert column(got, "ts", "n") == {at[1]: 1, at[2]: 3}
+    other = trailing(
+        df.select("key", "ts"), df, ["key"], "ts", "ts", {"n": "1"}, {"w": Trailing("6 MONTHS"), "m": Trailing("1 MONTH", MIDNIGHT)},
+        {"n": ("n", "w"), "m": ("n", "m")}, since="timestamp_ntz '2024-08-30 23:00:00'",
+    )
+    assert column(other, "ts", "n") == {at[1]: 1, at[2]: 3} and column(other, "ts", "m") == {at[1]: 0, at[2]: 1}

@@ -97,3 +97,14 @@ def test_clear_staged(spark):
         spark.read.parquet(shared_dir(spark) + "/*")
     stage(spark.range(3), "again").count()
     assert new_path(spark) != new_path(spark)
+
+
+def test_packed_days_are_few_files(spark, tmp_path):
+    path, loose = str(tmp_path / "packed"), str(tmp_path / "loose")
+    rows = spark.range(0, 4000, 1, 8).selectExpr("cast(id % 5 as int) as part_date", "cast(id as int) as v")
+    sinks.refresh_partitions(rows, path, pack=True)
+    sinks.rebuild(rows, loose, ["part_date"], ["v"])
+    assert back(spark, path) == back(spark, loose)
+    assert len(spark.read.parquet(path).inputFiles()) < len(spark.read.parquet(loose).inputFiles())
+    sinks.rebuild(rows, path, ["part_date"], ["v"], pack=True)
+    assert back(spark, path) == back(spark, loose)
