@@ -11,9 +11,15 @@ from callmart.fixed_values import DAY_PARTS, WEEKDAYS
 from callmart.functions.decode import SUCCESS
 
 
+def _text(value: str) -> str:
+    """A SQL text literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def count_by_category(c: str, values: Mapping[str, str], where: str = "true") -> list[Column]:
     """A conditional count per listed value; ``values`` maps the value to its column name."""
-    return [F.expr(f"count_if({c} = '{v}' and {where}) as {name}") for v, name in values.items()]
+    return [F.expr(f"count_if({c} = {_text(v)} and {where}) as {name}") for v, name in values.items()]
 
 
 def slot_names(success: bool) -> tuple[dict[str, str], dict[str, str]]:

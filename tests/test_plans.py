@@ -79,3 +79,15 @@ def test_scans_read_only_what_is_needed(spark, folder):
     text = plan(checks.queries()["product_pivot"](spark, folder))
     assert "l_extendedprice" not in text and "p_name" not in text
     assert table(spark, folder, "lineitem").columns  # the table itself has more
+
+
+def test_hints_override_the_size_rule(spark, conf):
+    from callmart.operators.joins import lookup
+
+    left, dim = spark.range(100).selectExpr("id as k"), spark.range(50).selectExpr("id as k", "id as v")
+    conf(**NO_BROADCAST)
+    assert "SortMergeJoin" in plan(lookup(left, dim, ["k"]))
+    assert "BroadcastHashJoin" in plan(lookup(left, dim, ["k"], hint="broadcast"))
+    conf(spark__sql__autoBroadcastJoinThreshold="10MB")
+    assert "BroadcastHashJoin" in plan(lookup(left, dim, ["k"]))
+    assert "SortMergeJoin" in plan(lookup(left, dim, ["k"], hint="merge"))
