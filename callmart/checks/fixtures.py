@@ -11,9 +11,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from callmart.context import RunContext
-from callmart.session import configure
 from callmart.sources.tables import load
 
 CTX = RunContext(datetime(2024, 1, 31))
@@ -335,14 +335,18 @@ _SPARK_EPOCH = "unix_timestamp(cast(ts as timestamp))"
 _DUCK_EPOCH = "cast(floor(epoch(ts)) as bigint)"
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A driver table."""
-    return load(spark, folder, f"{name}.parquet")
+    """A driver table. Its schema is read once; reading it again for every use costs a job each."""
+    df = load(spark, folder, f"{name}.parquet", _schemas.get((folder, name)))
+    _schemas.setdefault((folder, name), df.schema)
+    return df
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A fixture as a Spark frame."""
-    configure(spark)
     source, where, columns = VIEWS[name]
     exprs = [F.expr(e.replace("{epoch}", _SPARK_EPOCH)).alias(c) for c, e in columns.items()]
     return table(spark, folder, source).where(where).select(*exprs)

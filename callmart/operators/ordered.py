@@ -13,7 +13,7 @@ Both branches give the same values, so results do not depend on which one a key
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -87,8 +87,14 @@ def _local(keys: list[str], order: list[str], sums, maxes, lasts, prevs) -> list
     )
 
 
-def _pieced(df, keys, order, pieces, sums, maxes, lasts, prevs) -> DataFrame:
+def _plain(df, keys, order, weight, hot, hot_rows, sums, maxes, lasts, prevs) -> DataFrame:
+    """The running columns with one window over each key."""
+    return df.selectExpr("*", *_local(keys, order, sums, maxes, lasts, prevs))
+
+
+def _pieced(df, keys, order, weight, hot, hot_rows, sums, maxes, lasts, prevs) -> DataFrame:
     """The same columns for hot keys, piece by piece."""
+    pieces = min(HOT_PIECES, hot.rows * weight // max(1, hot_rows // PIECES_PER_TASK) + 2)
     cut = df.repartitionByRange(pieces, *keys, *_ordering(order))
     cut = stage(cut.withColumn("_piece", F.spark_partition_id()), "hot")
     within = [*keys, "_piece"]
@@ -121,6 +127,33 @@ def _pieced(df, keys, order, pieces, sums, maxes, lasts, prevs) -> DataFrame:
     )
 
 
+def paths(
+    df: DataFrame, keys: list[str], hot: Hot, hot_rows: int = HOT_ROWS
+) -> list[tuple[DataFrame, Callable[..., DataFrame]]]:
+    """The rows of ordinary and of hot keys, each with the function that runs over them.
+
+    That function takes (rows, order, sums=, maxes=, lasts=, prevs=, weight=) as ``running`` does.
+    An operator with several passes takes each path to its end before uniting them, so that rows
+    stay partitioned between passes.
+    """
+
+    def runner(how):
+        def run(rows, order, *, sums=None, maxes=None, lasts=None, prevs=None, weight=1):
+            parts = (dict(sums or {}), dict(maxes or {}), dict(lasts or {}), dict(prevs or {}))
+            return how(rows, keys, order, weight, hot, hot_rows, *parts)
+
+        return run
+
+    if hot.keys is None:
+        return [(df, runner(_plain))]
+    listed = hot.keys.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+    on = same_keys(df, listed, {k: f"_h_{k}" for k in keys})
+    return [
+        (df.join(F.broadcast(listed), on, "left_anti"), runner(_plain)),
+        (df.join(F.broadcast(listed), on, "left_semi"), runner(_pieced)),
+    ]
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -140,18 +173,12 @@ def running(
     must end in a unique key wherever tied rows would get different values. ``weight`` is how many
     rows there are here for one row that ``hot`` counted.
     """
-    parts = (dict(sums or {}), dict(maxes or {}), dict(lasts or {}), dict(prevs or {}))
-    plain = lambda rows: rows.selectExpr("*", *_local(keys, order, *parts))
-
     hot = hot or find_hot(df, keys, hot_rows)
-    if hot.keys is None:
-        return plain(df)
-    listed = hot.keys.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-    on = same_keys(df, listed, {k: f"_h_{k}" for k in keys})
-    pieces = min(HOT_PIECES, hot.rows * weight // max(1, hot_rows // PIECES_PER_TASK) + 2)
-    ordinary = plain(df.join(F.broadcast(listed), on, "left_anti"))
-    hot_part = df.join(F.broadcast(listed), on, "left_semi")
-    return ordinary.unionByName(_pieced(hot_part, keys, order, pieces, *parts))
+    done = [
+        run(rows, order, sums=sums, maxes=maxes, lasts=lasts, prevs=prevs, weight=weight)
+        for rows, run in paths(df, keys, hot, hot_rows)
+    ]
+    return reduce(DataFrame.unionByName, done)
 
 
 def row_index(

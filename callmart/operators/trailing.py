@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmart.operators.ordered import HOT_ROWS, Hot, find_hot, running
+from callmart.operators.ordered import HOT_ROWS, Hot, find_hot, paths
 
 _BEFORE, _EVENT, _AFTER = 0, 1, 2  # sort order among rows of the same instant
 
@@ -99,43 +100,53 @@ def trailing(
             *[F.expr(f"max({e}) as {top}") for top, e in tops.items()],
         )
     )
-    if probes is events and probe_ts == event_ts:
-        # The events ask about themselves: one scan, and an event row is its own UPTO end.
-        own = ends.get(UPTO, "cast(null as int)")
+    # Rows of a key before copies are summed bound its rows after; each asks for all window ends.
+    own = probes is events and probe_ts == event_ts
+    weight = len(ends) + 1
+    if hot is None:
+        counted = events if own else events.select(*keys).unionByName(probes.select(*keys))
+        hot = find_hot(counted, keys, hot_rows // weight)
+    totals = {"sums": {f"_r{s}": s for s in kept}, "maxes": {f"_r{top}": top for top in tops}}
+    # The last column only tells equal ends of a hot key apart, so that they can be split.
+    order = ["_t", "_side", "_at"]
+
+    def sweep_own(rows: DataFrame, run) -> DataFrame:
+        """The events ask about themselves: totals up to each event first, then window ends.
+
+        The ends are made where the key's events already are and only look up the last total, so
+        neither the shuffle nor the sums see more rows than there are instants. An event row is its
+        own UPTO end.
+        """
+        summed = run(rows, ["_t"], **totals)
+        total = ", ".join(f"'{name}', {name}" for part in totals.values() for name in part)
         itself = f"named_struct('_t', _t, '_side', {_EVENT}, '_end', {{}})"
-        marks = [itself.format(own)] + [_mark(i, name, "_t") for name, i in ends.items() if name != UPTO]
+        marks = [itself.format(ends.get(UPTO, "cast(null as int)"))]
+        marks += [_mark(i, name, "_t") for name, i in ends.items() if name != UPTO]
         marks = f"array({', '.join(marks)})"
         if since:
             marks = f"if(_t >= {since}, {marks}, array({itself.format('cast(null as int)')}))"
-        line = instants.selectExpr(*keys, "_t as _at", *kept, *tops, f"explode({marks}) as _m")
-        line = line.selectExpr(
-            *keys, "_at", "_m.*",
-            *[f"if(_m._side = {_EVENT}, {s}, 0L) as {s}" for s in kept],
-            *[f"if(_m._side = {_EVENT}, {top}, null) as {top}" for top in tops],
+        line = summed.selectExpr(*keys, "_t as _at", f"named_struct({total}) as _total", f"explode({marks}) as _m")
+        line = line.selectExpr(*keys, "_at", "_m.*", f"if(_m._side = {_EVENT}, _total, null) as _total")
+        swept = run(line, order, lasts={"_found": "_total"}, weight=weight)
+        return swept.selectExpr(
+            *keys, "_at", "_end",
+            *[f"coalesce(_found.{name}, 0L) as {name}" for name in totals["sums"]],
+            *[f"_found.{name} as {name}" for name in totals["maxes"]],
         )
+
+    def sweep(rows: DataFrame, run) -> DataFrame:
+        return run(rows, order, weight=weight, **totals)
+
+    if own:
+        line, sweep = instants, sweep_own
     else:
-        asked = probes.where(f"{probe_ts} >= {since}" if since else f"{probe_ts} is not null").selectExpr(*keys, f"{probe_ts} as _at").distinct()
+        asked = probes.where(f"{probe_ts} >= {since}" if since else f"{probe_ts} is not null")
+        asked = asked.selectExpr(*keys, f"{probe_ts} as _at").distinct()
         marks = ", ".join(_mark(i, name, "_at") for name, i in ends.items())
         marks = asked.selectExpr(*keys, "_at", f"explode(array({marks})) as _m")
         line = instants.selectExpr(*keys, "_t", f"{_EVENT} as _side", *kept, *tops).unionByName(
             marks.selectExpr(*keys, "_at", "_m.*", *[f"0L as {s}" for s in kept]), allowMissingColumns=True
         )
-    # Rows of a key before copies are summed bound its rows after; each asks for all window ends.
-    weight = len(ends) + 1
-    if hot is None:
-        counted = events if probes is events else events.select(*keys).unionByName(probes.select(*keys))
-        hot = find_hot(counted, keys, hot_rows // weight)
-    swept = running(
-        line,
-        keys,
-        # The last column only tells equal ends of a hot key apart, so that they can be split.
-        ["_t", "_side", "_at"],
-        sums={f"_r{s}": s for s in kept},
-        maxes={f"_r{top}": top for top in tops},
-        hot=hot,
-        weight=weight,
-        hot_rows=hot_rows,
-    )
 
     results = []
     for out, (name, window) in outputs.items():
@@ -150,14 +161,13 @@ def trailing(
         results.append(f"sum({value}) as {out}")
     for out, (_, window) in latest.items():
         w, found = windows[window], f"_r_l_{out}"
-        since = f" and {found} >= {_end(w.back, '_at')[0]}" if w.back else ""
-        results.append(f"max(if(_end = {ends[w.stop]}{since}, {found}, null)) as {out}")
-    return (
-        swept.where("_end is not null")
-        .groupBy(*keys, "_at")
-        .agg(*[F.expr(r) for r in results])
-        .withColumnRenamed("_at", probe_ts)
-    )
+        recent = f" and {found} >= {_end(w.back, '_at')[0]}" if w.back else ""
+        results.append(f"max(if(_end = {ends[w.stop]}{recent}, {found}, null)) as {out}")
+    answers = [
+        sweep(rows, run).where("_end is not null").groupBy(*keys, "_at").agg(*[F.expr(r) for r in results])
+        for rows, run in paths(line, keys, hot, hot_rows)
+    ]
+    return reduce(DataFrame.unionByName, answers).withColumnRenamed("_at", probe_ts)
 
 
 def count_before(

@@ -60,4 +60,4 @@ def score_night(
         written = load(spark, root, SCORES).where(F.col("part_date") == ctx.day_key())
         return features.count(), written.count(), ctx.as_of
 
-    logged_run(spark, f"{root}/{RUNS}", "connection_score", str(ctx.day_key()), work, clock)
+    logged_run(spark, f"{root}/{RUNS}", "answer_score", str(ctx.day_key()), work, clock)
