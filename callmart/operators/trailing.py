@@ -2,10 +2,10 @@
 
 The meaning is an interval join: for a probe at time t, the events e of the same key with
 ``lower(t) <= e <= upper(t)``, aggregated. A join would form every (probe, event) pair of a key.
-Here both ends of every window become rows of their own among the events; one running sum per
-key then holds, at each end, the total of all events up to it, and a window is the difference of
-its two ends. Work grows with the number of events, not with its square, and ends may lie
-anywhere (a month back with its clamped day, the last midnight).
+Here both ends of every window become rows of their own among the events, each end finds the total
+of all events up to it, and a window is the difference of its two ends. Work grows with the number
+of events, not with its square, and ends may lie anywhere (a month back with its clamped day, the
+last midnight).
 
 Events of one key at one instant are summed before the shuffle, so copies cost one row, and the
 running sums split hot keys (``ordered.running``).
