@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +17,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
-_local_dirs: dict[str, str] = {}
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every operator here relies on."""
@@ -32,21 +27,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: ``spark.checkpoint.dir``.
+    """Folder for staged tables, one that all executors share.
 
-    Only a local-mode session without that setting gets a folder of its own; on a cluster a
-    machine-local folder would be lost with its machine, so there the setting is required.
+    ``spark.checkpoint.dir``, else the checkpoint folder that was set on the session's context, else a
+    folder in the warehouse.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
-    if configured:
-        return f"{configured.rstrip('/')}/callmart/{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="callmart-")
-        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
-    return _local_dirs[app]
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    return f"{folder.rstrip('/')}/callmart/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, label: str = "table") -> str:
