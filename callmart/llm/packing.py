@@ -11,6 +11,7 @@ until there is one group or most pieces stay open.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,7 +35,7 @@ LAST = 0.2
 KNOWN_WORDS = 500_000
 
 
-class WordTokens:
+class WordTokens(dict):
     """The vocabulary's ids of a word, little-endian, four bytes each.
 
     A vocabulary of the kind "lower case, byte-level merges, words that end in </w>": its merges are written as ranks
@@ -43,6 +44,7 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             described = json.load(f)
@@ -60,23 +62,28 @@ class WordTokens:
         self.merge = tiktoken.Encoding(
             "words", pat_str=".+", mergeable_ranks=ranks, special_tokens={}
         )._core_bpe.encode_single_piece
-        self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, word: bytes) -> bytes:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= KNOWN_WORDS:
-                self.known.clear()
-            if word.isalpha():  # of bytes: ASCII letters only
-                ids = self.merge(word.lower() + END)
-            else:
-                normal = self.tokenizer.normalizer.normalize_str(word.decode())
-                parts = [part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
-                ids = [i for part in parts for i in self.merge(bytes(map(self.byte_of.__getitem__, part)) + END)]
-            found = self.known[word] = np.array(ids, "<u4").tobytes()
+
+    def ids_of(self, word: bytes) -> bytes:
+        text = word.decode()
+        if plain := _PLAIN.fullmatch(text):
+            ids = self.merge(plain[1].lower().encode() + END)
+            if plain[2]:
+                ids += self.merge(plain[2].encode() + END)
+        else:
+            normal = self.tokenizer.normalizer.normalize_str(text)
+            parts = [part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+            ids = [i for part in parts for i in self.merge(bytes(map(self.byte_of.__getitem__, part)) + END)]
+        return np.array(ids, "<u4").tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        found = self[word] = self.ids_of(word)
         return found
 
 
+#: Letters that the vocabulary's normal form only makes small, and marks behind them.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-į]+)([.,;:!?|]*)")
 #: Stands for the end of a word in the ranks.
 END = b"\xff"
 
@@ -95,7 +102,7 @@ def pieces(docs: DataFrame, vocabulary: str, size: int, end: int = 0) -> DataFra
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_tokens(vocabulary)
+        ids_of = word_tokens(vocabulary).__getitem__
         stop = np.array([end], "<u4").tobytes()
         for batch in batches_of(batches):
             rows, out = [], []
