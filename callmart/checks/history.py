@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -31,7 +30,7 @@ def pairs_sql(calls: str = "fx_calls") -> str:
   {OK.replace('talk_duration', 'b.talk_duration').replace('code_call', 'b.code_call')} as ok,
   b.dtime_call_start between a.dtime_call_start - interval 14 days and date_trunc('day', a.dtime_call_start) as in_14,
   b.dtime_call_start between a.dtime_call_start - interval 7 days and date_trunc('day', a.dtime_call_start) as in_7
-  from {calls} a join {calls} b on a.phone_number is not distinct from b.phone_number and a.cuid is not distinct from b.cuid
+  from {calls} a join {calls} b on a.phone_number = b.phone_number and a.cuid is not distinct from b.cuid
   and b.dtime_call_start between a.dtime_call_start - interval 21 days and a.dtime_call_start)"""
 
 
@@ -135,11 +134,27 @@ def theta_before(spark, folder):
     return joins.attach(orders, counted, ["o_custkey", "o_orderdate"]).select("o_orderkey", "shipped_before")
 
 
+@check(
+    "trailing_amounts",
+    """select a.o_orderkey, cast(sum(cast(b.o_totalprice as decimal(18, 2))) as double) as amount from orders a join orders b
+    on b.o_custkey = a.o_custkey and b.o_orderdate between a.o_orderdate - interval 300 days and a.o_orderdate group by a.o_orderkey""",
+)
+def trailing_amounts(spark, folder):
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("at"), F.col("o_totalprice").cast("decimal(18,2)").alias("price")
+    )
+    summed = trailing(
+        orders, orders, ["o_custkey"], "at", "at", {"price": "price"}, {"w": Trailing("300 DAYS")}, {"amount": ("price", "w")}
+    )
+    found = joins.attach(orders, summed, ["o_custkey", "at"])
+    return found.select("o_orderkey", F.col("amount").cast("double").alias("amount"))
+
+
 @check(
     "asof_join",
     """select a.o_orderkey, s.at as state_at, s.price as state_price from orders a left join lateral
     (select o_orderdate as at, o_totalprice as price from orders b where b.o_custkey = a.o_custkey and b.o_orderpriority = '1-URGENT'
-     and b.o_orderdate <= a.o_orderdate order by o_orderdate desc, cast(o_orderkey as varchar) desc limit 1) s on true""",
+     and b.o_orderdate <= a.o_orderdate order by o_orderdate desc, o_orderkey desc limit 1) s on true""",
 )
 def asof_join(spark, folder):
     orders = table(spark, folder, "orders")
@@ -236,7 +251,7 @@ def loader(weights: dict[str, float], intercept: float):
 
         def predict(batch: pd.DataFrame) -> pd.Series:
             z = intercept + (batch[list(weights)].astype("float64") * by_name).sum(axis=1)
-            return 1.0 / (1.0 + z.map(lambda v: math.exp(-v)))
+            return 1.0 / (1.0 + np.exp(-z))
 
         return predict
 

@@ -91,7 +91,7 @@ RAW = {
 
 @check(
     "call_log",
-    f"""select distinct f.interaction_id, media_server_ixn_guid as callid, s.cuid,
+    f"""select f.interaction_id, media_server_ixn_guid as callid, s.cuid,
       right(if(interaction_type = 'Outbound', coalesce(contact_info, target_address), source_address), 10) as phone_number,
       make_timestamp((start_ts + 21600) * 1000000) as dtime_call_start, make_timestamp((end_ts + 21600) * 1000000) as dtime_call_end,
       dayname(make_timestamp((start_ts + 21600) * 1000000)) as weekday, h.h_date,
@@ -100,8 +100,8 @@ RAW = {
       code_camp_task_result_type, ev.resultscomment as text_call_disposition, 'GENESYS' as call_source, f.part_date
     from raw_interaction f
     join (select interaction_id, cast(hour(make_timestamp((end_ts + 21600) * 1000000)) as int) as h_date from raw_interaction) h on h.interaction_id = f.interaction_id
-    join (select interaction_id, sum(talk_duration)::bigint as talk_duration, max(resource_key) as resource_key from raw_resource_fact group by interaction_id) talk
-      on talk.interaction_id = f.interaction_id
+    join (select interaction_id, sum(talk_duration)::bigint as talk_duration, max(resource_key) as resource_key, part_date from raw_resource_fact group by interaction_id, part_date) talk
+      on talk.interaction_id = f.interaction_id and talk.part_date = f.part_date
     join raw_resource res on res.resource_key = talk.resource_key
     left join raw_type ty on ty.interaction_type_key = f.interaction_type_key
     left join raw_attempt a on a.callid = f.media_server_ixn_guid

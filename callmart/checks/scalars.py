@@ -24,7 +24,10 @@ from callmart.plans.client_attributes import lookup_code
 from callmart.plans.daily_features import add_rates, recent_call_counts
 from callmart.sources.tables import register
 
-BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+BASE = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
 
 
 @check("load_counts", " union all ".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in BASE))

@@ -50,7 +50,8 @@ def asof_join(
         *keys,
         F.col(right_ts).alias("_at"),
         F.lit(0).alias("_side"),
-        F.col(right_tie).cast("string").alias("_tie"),
+        F.col(right_tie).alias("_tie"),
+        F.lit(0).cast("long").alias("_apart"),
         F.struct(*columns).alias("_state"),
     )
     asking = left.select(
@@ -58,12 +59,12 @@ def asof_join(
         F.col(left_ts).alias("_at"),
         F.lit(1).alias("_side"),
         # Left rows of one instant get one answer; the hash only lets a crowd of them be split.
-        F.xxhash64(*left.columns).cast("string").alias("_tie"),
+        F.xxhash64(*left.columns).alias("_apart"),
         F.struct(*[c for c in left.columns if c not in keys]).alias("_row"),
     )
     merged = states.unionByName(asking, allowMissingColumns=True)
     hot = find_hot(left.select(*keys).unionByName(right.select(*keys)), keys, hot_rows)
-    order = ["_at", "_side", "_tie"]
+    order = ["_at", "_side", "_tie", "_apart"]
     done = running(merged, keys, order, lasts={"_found": "_state"}, hot=hot, hot_rows=hot_rows)
     return done.where("_side = 1").select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in left.columns],

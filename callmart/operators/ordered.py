@@ -1,7 +1,7 @@
 """Running values per key, and positions in a global order, on any skew.
 
 ``Window.partitionBy(key)`` puts all rows of a key into one task. That is the right plan until a
-key is very big, so keys are counted first:
+key is very big, so keys are counted first, all of them:
 
 * ordinary keys use the plain window: one shuffle, one sort;
 * rows of hot keys are range-partitioned by key *and* order, which cuts a big key into pieces of
@@ -17,15 +17,13 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callmart.session import stage
 
 # A key with more rows than this may be too much for one task.
 HOT_ROWS = 1_000_000
-# The biggest keys that are looked at. A key outside this list holds under 1/10,000 of all rows.
-HOT_KEYS = 10_000
 # Hot rows are cut finer than a task's worth, so that the pieces spread evenly over the tasks.
 PIECES_PER_TASK = 8
 # Most pieces the hot rows are cut into; beyond it the pieces grow.
@@ -49,24 +47,15 @@ class Hot:
 
 
 def find_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Hot:
-    """Keys with more than ``hot_rows`` rows, from one count that combines inside each task.
+    """All keys with more than ``hot_rows`` rows, from one count that combines inside each task.
 
-    Only the biggest ``HOT_KEYS`` are returned, which bounds the list whatever the data. Operators
+    However many there are, they stay a table: it is written out, and only their number of rows comes back. Operators
     count for themselves; a pipeline that uses one key several times counts once and passes it on.
     """
     n = "_hot_rows"
-    found = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(n))
-        .where(F.col(n) > hot_rows)
-        .orderBy(F.col(n).desc())
-        .limit(HOT_KEYS)
-        .collect()
-    )
-    if not found:
-        return Hot(None, 0)
-    rows = [tuple(r[k] for k in keys) for r in found]
-    return Hot(df.sparkSession.createDataFrame(rows, df.select(*keys).schema), sum(r[n] for r in found))
+    found = stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > hot_rows), "hot-keys")
+    rows = found.agg(F.sum(n)).first()[0]
+    return Hot(found.select(*keys), rows) if rows else Hot(None, 0)
 
 
 def _ordering(order: list[str]) -> list[Column]:
@@ -116,8 +105,8 @@ def _pieced(df, keys, order, weight, hot, hot_rows, sums, maxes, lasts, prevs) -
         *[f"last({out}, true) over {earlier} as _b_{out}" for out in lasts],
         *[f"lag(_own_{out}) over ({by_piece}) as _b_{out}" for out in prevs],
     )
-    # One row per piece and hot key: at most HOT_PIECES + HOT_KEYS rows.
-    joined = local.join(F.broadcast(before), same_keys(local, before, {k: f"_k_{k}" for k in within}), "left")
+    # One row per piece and hot key.
+    joined = local.join(before, same_keys(local, before, {k: f"_k_{k}" for k in within}), "left")
     return joined.selectExpr(
         *df.columns,
         *[f"coalesce(_b_{out} + {out}, {out}, _b_{out}) as {out}" for out in sums],
@@ -149,8 +138,8 @@ def paths(
     listed = hot.keys.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
     on = same_keys(df, listed, {k: f"_h_{k}" for k in keys})
     return [
-        (df.join(F.broadcast(listed), on, "left_anti"), runner(_plain)),
-        (df.join(F.broadcast(listed), on, "left_semi"), runner(_pieced)),
+        (df.join(listed, on, "left_anti"), runner(_plain)),
+        (df.join(listed, on, "left_semi"), runner(_pieced)),
     ]
 
 
@@ -199,24 +188,30 @@ def row_index(
     within = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     placed = placed.withColumn("_piece", piece).withColumn("_place", within)
 
-    # One count per partition of the sort, so the list is as long as the sort has tasks.
-    sizes = sorted((r["_piece"], r["count"]) for r in placed.groupBy("_piece").count().collect())
-    starts, total = [], 0
-    for number, size in sizes:
-        starts.append((number, total))
-        total += size
-    starts = spark.createDataFrame(starts, "_piece int, _start long")
-    placed = placed.join(F.broadcast(starts), "_piece").withColumn(
-        "row_index", F.col("_start") + F.col("_place") + 1
-    )
+    # One row for each partition of the sort, and for each segment that begins in it.
+    parts = placed.groupBy("_piece", *segment).agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_low"))
     if not segment:
+        sizes = sorted((r["_piece"], r["_rows"]) for r in parts.collect())
+        starts, total = [], 0
+        for number, size in sizes:
+            starts.append((number, total))
+            total += size
+        starts = spark.createDataFrame(starts, "_piece int, _start long")
+        placed = placed.join(F.broadcast(starts), "_piece")
+        placed = placed.withColumn("row_index", F.col("_start") + F.col("_place") + 1)
         return placed.withColumn("row_total", F.lit(total).cast("long")).drop("_piece", "_place", "_start")
 
-    ends = placed.groupBy(*segment).agg(
-        F.min("row_index").alias("_first"), F.count(F.lit(1)).alias("row_total")
+    # Where a segment's rows of a partition begin within the segment: what its earlier partitions hold.
+    whole = Window.partitionBy(*segment)
+    earlier = whole.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(
+        *[F.col(s).alias(f"_s_{s}") for s in segment],
+        F.col("_piece").alias("_p"),
+        "_low",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
+        F.sum("_rows").over(whole).alias("row_total"),
     )
-    ends = ends.select(*[F.col(s).alias(f"_s_{s}") for s in segment], "_first", "row_total")
-    placed = placed.join(ends, same_keys(placed, ends, {s: f"_s_{s}" for s in segment}))
-    return placed.withColumn("row_index", F.col("row_index") - F.col("_first") + 1).select(
-        *df.columns, "row_index", "row_total"
+    on = same_keys(placed, starts, {s: f"_s_{s}" for s in segment}) & (placed["_piece"] == starts["_p"])
+    return placed.join(starts, on).select(
+        *df.columns, (F.col("_start") + F.col("_place") - F.col("_low") + 1).alias("row_index"), "row_total"
     )

@@ -73,7 +73,8 @@ def trailing(
 ) -> DataFrame:
     """One row per distinct (key, ``probe_ts``) of ``probes`` with the trailing values.
 
-    ``sums`` names whole-number SQL expressions over ``events`` (never missing); ``outputs`` maps a
+    ``sums`` names SQL expressions over ``events`` (never missing), summed in their own type: take decimals where
+    fractions must be exact; ``outputs`` maps a
     result column to (sum name, window name); ``latest`` maps a result column to (a nullable event
     time, window name) and gives the newest such time inside the window. Missing keys match each
     other. With ``since``, a timestamp in SQL, only probes from then on are answered, and events too
@@ -96,7 +97,7 @@ def trailing(
         kept_events
         .groupBy(*keys, F.col(event_ts).alias("_t"))
         .agg(
-            *[F.expr(f"sum(cast({e} as bigint)) as _s_{name}") for name, e in sums.items()],
+            *[F.expr(f"sum({e}) as _s_{name}") for name, e in sums.items()],
             *[F.expr(f"max({e}) as {top}") for top, e in tops.items()],
         )
     )

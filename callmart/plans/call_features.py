@@ -101,9 +101,11 @@ def trailing_features(
         outputs[f"cnt_successful_calls_{w}"] = ("ok", w)
         outputs[f"_talk_{w}"] = ("talk", w)
         outputs[f"_timed_{w}"] = ("timed", w)
+    # A missing phone is nobody's: such calls are not each other's history and get no features.
+    known = calls.where("phone_number is not null")
     swept = trailing(
-        calls,
-        calls,
+        known,
+        known,
         keys,
         TS,
         TS,

@@ -41,14 +41,15 @@ def first_source(t: Mapping[str, DataFrame], ctx: RunContext, from_days: int = 1
         "part_date",
     )
 
-    # Talk time per interaction is summed before it meets the facts.
+    # Talk time per interaction and day is summed before it meets the facts, so that a run over many days
+    # gives what as many one-day runs give.
     talk = (
         scan_range(t["interaction_resource_fact"], ctx, from_days, to_days)
-        .groupBy("interaction_id")
+        .groupBy("interaction_id", "part_date")
         .agg(F.sum("talk_duration").alias("talk_duration"), F.max("resource_key").alias("resource_key"))
     )
     known = dedupe(t["resource"], ["resource_key"])
-    calls = lookup(facts, talk, ["interaction_id"], how="inner", in_place=True)
+    calls = lookup(facts, talk, ["interaction_id", "part_date"], how="inner", in_place=True)
     calls = lookup(calls, known, ["resource_key"], [], how="inner")
     calls = lookup(calls, t["interaction_type"], ["interaction_type_key"], ["interaction_type", "interaction_type_code"])
 
@@ -107,7 +108,7 @@ def first_source(t: Mapping[str, DataFrame], ctx: RunContext, from_days: int = 1
             "call_source": F.lit("GENESYS"),
         }
     )
-    return dedupe(align_to(out, CALL_LOG))
+    return align_to(out, CALL_LOG)
 
 
 def second_source_calls(raw: DataFrame) -> DataFrame:

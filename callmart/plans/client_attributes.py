@@ -16,7 +16,7 @@ from callmart.fixed_values import EDUCATION_CODES, EDUCATION_RANGES, GENDER_CODE
 from callmart.functions.calendar import age_years
 from callmart.functions.decode import decode, first_known, latest_status
 from callmart.operators.dedupe import dedupe, first_per, latest_per
-from callmart.operators.joins import lookup
+from callmart.operators.joins import lookup, restrict_to
 from callmart.operators.scans import active
 
 PAIR = ["phone_number", "cuid"]
@@ -64,6 +64,22 @@ def marital_dates(marriages: DataFrame, divorces: DataFrame) -> DataFrame:
     )
 
 
+# What is read of a party's own record and of its relations.
+PARTY_COLUMNS = [
+    "identification_code", "gender_code", "birth_date_dt", "housingtype_code", "education_code", "maritalstatus_code", "cust_childnum",
+]
+
+
+def one_per_party(records: DataFrame, parties: DataFrame) -> DataFrame:
+    """The columns needed of each listed party, one row for each.
+
+    Records of one party that differ are settled by the greatest values, known before missing ones.
+    """
+    read = [c for c in PARTY_COLUMNS if c in records.columns]
+    wanted = restrict_to(records.where("id is not null").select("id", *read), parties, ["id"])
+    return wanted.groupBy("id").agg(F.max(F.struct(*read)).alias("_all")).select("id", *[f"_all.{c}" for c in read])
+
+
 def client_attributes(calls: DataFrame, t: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
     """Attributes per distinct (phone, client) of ``calls``; where sources differ, trust decides."""
     pairs = dedupe(calls, PAIR)
@@ -76,8 +92,9 @@ def client_attributes(calls: DataFrame, t: Mapping[str, DataFrame], ctx: RunCont
     )
     out = out.withColumn("pif_cuid", F.when(F.col("pif_party_role_id").isNotNull(), F.col("cuid")))
 
-    out = lookup(out, dedupe(t["person"]), {"pif_party_id": "id"})
-    out = lookup(out, dedupe(t["person_rel"]), {"pif_party_id": "id"})
+    parties = out.select(F.col("pif_party_id").alias("id")).distinct()
+    out = lookup(out, one_per_party(t["person"], parties), {"pif_party_id": "id"})
+    out = lookup(out, one_per_party(t["person_rel"], parties), {"pif_party_id": "id"})
 
     # One row per identified client: the oldest registry row, the newest state and bureau rows.
     known = lambda name, key: t[name].where(F.col(key).isNotNull())

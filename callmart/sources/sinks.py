@@ -8,9 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# States of a run, and how much of an error text is kept.
+# States of a run.
 STARTED, FINISHED, ERROR = "STARTED", "FINISHED", "ERROR"
-ERROR_TEXT = 500
 
 RUN_LOG_SCHEMA = (
     "job string, run_id string, status string, logged_at timestamp_ntz, source_rows bigint, "
@@ -99,7 +98,7 @@ def run_log(
     error: str | None = None,
 ) -> None:
     """Append one row about a run: started, finished with counts, or failed with the error's text."""
-    text = error[:ERROR_TEXT] if error else None
+    text = error or None
     row = (job, run_id, status, logged_at, source_rows, target_rows, max_source_date, text)
     spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 

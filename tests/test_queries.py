@@ -12,10 +12,10 @@ def db(folder):
 
 
 def test_every_query_has_sql():
-    assert set(checks.queries()) == set(checks.oracle_sql())
+    assert set(checks.QUERIES) == set(checks.SQL)
 
 
-@pytest.mark.parametrize("name", list(checks.queries()))
+@pytest.mark.parametrize("name", list(checks.QUERIES))
 def test_query(spark, folder, db, name):
     assert difference(checks.queries()[name](spark, folder), db, checks.oracle_sql()[name]) is None
 
