@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import heapq
 import sys
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 from callmart.llm.common import batches_of, texts
 
 #: Words whose ids a task remembers between blocks; a full table starts anew.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
+#: Words laid out in one row of tokens, which bounds the index.
+REPLAYED_WORDS = 50_000
 
 
 class Merges:
@@ -163,15 +166,18 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, split = merges(ranks), splitter(pattern)
-        known: dict[str, list[int]] = {}
+        known: dict[str, bytes] = {}  # four bytes an id
         for batch in batches_of(batches):
             pieces = [split(t.as_py().decode()) for t in batch.column(1)]
             new = list({p for each in pieces for p in each}.difference(known))
             if len(known) + len(new) > KNOWN_WORDS:
                 known = {}
                 new = list({p for each in pieces for p in each})
-            known.update(zip(new, table.replay([w.encode() for w in new]), strict=True))
-            ids = [np.fromiter((i for p in each for i in known[p]), np.int32) for each in pieces]
+            for a in range(0, len(new), REPLAYED_WORDS):
+                some = new[a : a + REPLAYED_WORDS]
+                found = table.replay([w.encode() for w in some])
+                known.update((w, array("i", ids).tobytes()) for w, ids in zip(some, found, strict=True))
+            ids = [np.frombuffer(b"".join(map(known.__getitem__, each)), np.int32) for each in pieces]
             counts = np.array([len(x) for x in ids], np.int64)
             offsets = np.zeros(len(ids) + 1, np.int32)
             np.cumsum(counts, out=offsets[1:])
