@@ -69,19 +69,24 @@ def test_staged_tables_go_to_the_shared_folder(spark):
     assert df.inputFiles()[0].startswith("file:" + shared_dir(spark)) or shared_dir(spark) in df.inputFiles()[0]
 
 
-def test_cluster_without_shared_folder_is_refused():
+def test_without_a_setting_the_warehouse_is_used():
     class Conf:
         def get(self, key, default=None):
-            return default
+            return "/shared/warehouse" if key == "spark.sql.warehouse.dir" else default
 
     class Context:
         applicationId, master = "app", "yarn"
+        checkpoints = None
+
+        def getCheckpointDir(self):
+            return self.checkpoints
 
     class Session:
         conf, sparkContext = Conf(), Context()
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Session())
+    assert shared_dir(Session()) == "/shared/warehouse/callmart/app"
+    Context.checkpoints = "/shared/checkpoints"
+    assert shared_dir(Session()) == "/shared/checkpoints/callmart/app"
 
 
 def test_given_schema_is_used(spark, tmp_path):
