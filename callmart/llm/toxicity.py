@@ -78,7 +78,7 @@ def noisy_or(probabilities: np.ndarray) -> float:
         return float(-np.expm1(np.log1p(-probabilities).sum()))
 
 
-def fit(sample: list[tuple[bytes, int]], rounds: int = 100, rate: float = 1.0, l1: float = 1e-4) -> SentenceModel:
+def fit(sample: list[tuple[bytes, int]], rounds: int = 100, rate: float = 0.3, l1: float = 2e-4) -> SentenceModel:
     """Maximise the likelihood of the labels under the noisy-or, with few words of weight.
 
     Adagrad steps on the whole sample; weights shrink towards 0, so words that tell nothing end there. Without both
