@@ -7,7 +7,8 @@ below its kth score so far. Before the shards are searched, each query looks at
 it finds there travels with it to all shards, so most of their nodes are cut off at once. Scores are
 whole numbers, and the bounds are rounded up, so results are exact.
 
-A block of queries is one row for a shard, and a shard one group of rows, so memory is bounded by both sizes.
+A block of queries is one row for a shard. A group holds one shard and a bounded number of blocks; where there are
+more blocks, the shard is copied to several groups, so memory is bounded whatever the number of queries.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from pyspark.sql import functions as F
 from callmart.llm.common import batches_of
 from callmart.session import stage
 
-#: Vectors of a shard, queries of a block, vectors of a leaf.
+#: Vectors of a shard, queries of a block, vectors of a leaf, blocks that meet a shard in one group.
 SHARD_ROWS = 10_000
 BLOCK_ROWS = 1_000
 LEAF_ROWS = 64
+BLOCKS_OF_GROUP = 64
 
 
 class BallTree:
@@ -95,9 +97,13 @@ class BallTree:
             for part in np.split(by_leaf, cuts):
                 q, a, b = active[part], self.starts[leaf[part[0]]], self.starts[leaf[part[0]] + 1]
                 scores = queries[q] @ self.vectors[a:b].T
-                names = np.broadcast_to(self.ids[a:b], scores.shape)
-                scores = np.where(names == own[q][:, None], -np.inf, scores)
-                names = np.where(np.isfinite(scores), names, np.iinfo(np.int64).max)
+                scores[self.ids[a:b] == own[q][:, None]] = -np.inf
+                # Only queries that the leaf gives something in reach of their kth score are merged and sorted.
+                hit = scores.max(axis=1) >= floor[q]
+                if not hit.any():
+                    continue
+                q, scores = q[hit], scores[hit]
+                names = np.where(np.isfinite(scores), self.ids[a:b], np.iinfo(np.int64).max)
                 all_scores, all_names = np.hstack([best[q], scores]), np.hstack([ids[q], names])
                 top = np.lexsort((all_names, -all_scores), axis=1)[:, :k]
                 best[q], ids[q] = np.take_along_axis(all_scores, top, 1), np.take_along_axis(all_names, top, 1)
@@ -187,6 +193,11 @@ def _blocks(queries: DataFrame, block_rows: int, count: int) -> DataFrame:
     return dealt.groupBy("n", "block").applyInPandas(pack, "n int, block int, ids binary, v binary, floors binary")
 
 
+def _copied(vectors: DataFrame, parts: int) -> DataFrame:
+    """The vectors of each shard once for each part of the blocks."""
+    return vectors.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+
 def top_k(
     rows: DataFrame,
     key: str,
@@ -196,6 +207,7 @@ def top_k(
     factor: int = 256,
     shard_rows: int = SHARD_ROWS,
     block_rows: int = BLOCK_ROWS,
+    blocks_of_group: int = BLOCKS_OF_GROUP,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest whole-number inner products of each query with every other row.
 
@@ -214,16 +226,22 @@ def top_k(
     dealt = vectors.withColumn("shard", shard)
     blocks = _blocks(queries, block_rows, n_queries)
 
-    def searched(blocks: DataFrame) -> DataFrame:
-        return dealt.groupBy("n", "shard").cogroup(blocks.groupBy("n", "shard")).applyInPandas(_search(k), _FOUND)
+    def searched(vectors: DataFrame, blocks: DataFrame) -> DataFrame:
+        on = ["n", "shard", "part"]
+        return vectors.groupBy(*on).cogroup(blocks.groupBy(*on)).applyInPandas(_search(k), _FOUND)
 
-    # First each block looks at one shard.
-    home = searched(blocks.withColumn("shard", F.pmod(F.xxhash64("n", "block"), F.lit(shards)).cast("int")))
+    # First each block looks at one shard; block b at shard b mod shards.
+    home_shard = F.pmod(F.col("block"), F.lit(shards)).cast("int").alias("shard")
+    home_part = F.floor(F.col("block") / F.lit(shards * blocks_of_group)).cast("int").alias("part")
+    home_blocks = blocks.select("*", home_shard, home_part)
+    n_blocks = max(1, -(-n_queries // block_rows))
+    home = searched(_copied(dealt, -(-n_blocks // (shards * blocks_of_group))), home_blocks)
     floors = home.groupBy(F.col("query_id").alias("id")).agg(F.max("floor").alias("known"))
     if shards > 1:
         better = queries.join(floors, "id", "left").select("id", "v", "n", F.coalesce("known", "floor").alias("floor"))
         everywhere = _blocks(better, block_rows, n_queries).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-        found = searched(everywhere)
+        everywhere = everywhere.withColumn("part", F.floor(F.col("block") / F.lit(blocks_of_group)).cast("int"))
+        found = searched(_copied(dealt, -(-n_blocks // blocks_of_group)), everywhere)
     else:
         found = home
     # Few rows beyond k for a query: what its floor has let pass. Spark cuts to k before and after the shuffle.

@@ -79,7 +79,7 @@ def test_top_k(spark, shard_rows, block_rows):
     rows += [(800, None), (850, [float("nan")] * 12), (851, [1.0, None] * 6), (852, [float("inf")] * 12), (900, []), (None, vectors[0])]
     rows += [(1000, [1.0, 2.0, 3.0]), (1001, [3.0, -2.0, 1.0]), (50, vectors[50])]
     df = spark.createDataFrame([(i, v, 1.0, 2) for i, v in rows], "vec_id long, embedding array<float>, score double, n int").repartition(4)
-    found = balltree.top_k(df, "vec_id", "embedding", F.col("vec_id") % 50 == 0, shard_rows=shard_rows, block_rows=block_rows).collect()
+    found = balltree.top_k(df, "vec_id", "embedding", F.col("vec_id") % 50 == 0, shard_rows=shard_rows, block_rows=block_rows, blocks_of_group=2).collect()
     whole = {i: np.floor(256.0 * np.array(v, np.float32).astype(float)).astype(int).tolist() for i, v in [*vectors.items(), *rows[-3:-1]]}
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == plain_top(whole, 5)
 
