@@ -351,16 +351,25 @@ def published_features(spark, folder):
     return sinks.publish_view(features(spark, folder), "published_features", P5.published_columns())
 
 
+CALL_TYPES = {
+    **dict.fromkeys(["callid", "raw_phone", "phone_number", "weekday", "day_part"], "string"),
+    **dict.fromkeys(["interaction_type_code", "code_call_result_type", "call_source"], "string"),
+    **dict.fromkeys(["dtime_call_start", "dtime_call_end"], "timestamp_ntz"),
+    **dict.fromkeys(["interaction_id", "cuid", "talk_duration"], "bigint"),
+    **dict.fromkeys(["h_date", "part_date"], "int"),
+}
+
+
 @check(
     "profile_features",
     " union all ".join(
-        f"select '{c}' as column_name, count(*) as rows, count(*) filter (where {c} is null) as nulls from fx_calls"
-        for c in ("interaction_id", "code_call_result_type", "talk_duration", "phone_number")
+        f"""select '{c}' as column_name, '{t}' as column_type, count(*) as rows, count(*) filter (where {c} is null) as nulls
+        from fx_calls"""
+        for c, t in CALL_TYPES.items()
     ),
 )
 def profile_features(spark, folder):
-    kept = view(spark, folder, "fx_calls").select("interaction_id", "code_call_result_type", "talk_duration", "phone_number")
-    return profile(kept).drop("column_type")
+    return profile(view(spark, folder, "fx_calls"))
 
 
 # --- P6 ---------------------------------------------------------------------------------------

@@ -28,6 +28,9 @@ UPTO = "upto"  # events up to the probe's own time, included
 UNTIL = "until"  # events before the probe's own time
 MIDNIGHT = "midnight"  # events up to the start of the probe's day, included
 
+# Most days that a unit of ``Trailing.back`` can span.
+_DAYS = {"HOUR": 1, "DAY": 1, "WEEK": 7, "MONTH": 31, "YEAR": 366}
+
 
 @dataclass(frozen=True)
 class Trailing:
@@ -36,6 +39,12 @@ class Trailing:
     back: str | None
     stop: str = UPTO
 
+    @property
+    def days(self) -> int:
+        """Days that cover ``back``, which must have a start."""
+        number, unit = self.back.split()
+        return int(number) * _DAYS[unit.upper().rstrip("S")]
+
     @property
     def ends(self) -> list[str]:
         return [self.stop] + ([self.back] if self.back else [])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from callmart.operators.history import lag_features
 from callmart.operators.joins import lookup
 from callmart.operators.ordered import HOT_ROWS, Hot, find_hot
 from callmart.operators.trailing import MIDNIGHT, Trailing, trailing
+from callmart.plans.call_log import HISTORY_DAYS
 
 KEYS = ["phone_number", "cuid"]
 TS = "dtime_call_start"
@@ -24,6 +27,9 @@ WHO_KEY = "_who"
 # What tells calls of one instant apart. Calls of the second source have no id of their own.
 TIES = ["interaction_id", "dtime_call_end", "code_call_result_type", "interaction_type_code", "talk_duration"]
 
+# Calls are stored under a day (part_date) at most this many days from their start.
+LOOSE_DAYS = 7
+
 # The long window includes the call; the shorter ones stop at the midnight before it.
 WINDOWS = {
     "6m": Trailing("6 MONTHS"),
@@ -139,27 +145,44 @@ def call_features(
     """Calls of the last ``days`` days with previous-call and trailing features.
 
     The windows look back as far as they reach; only the calls that get a row are limited, so a
-    nightly run asks for ``days=1`` and sweeps half a year once. The calls are shuffled once, by phone and client in one key: the window of the previous call and the
+    nightly run asks for ``days=1`` and sweeps half a year once. Stored days that no window reaches are
+    not read, by the literal day key. The previous call may lie further back, within the year of calls that the log
+    keeps; that scan reads a few columns. The calls are shuffled once, by phone and client in one key: the window of the previous call and the
     join with the trailing features both find them in place. ``keep_key`` leaves that key
     (``_who``) in the result for further joins.
     """
     keyed = calls.withColumn(WHO_KEY, pair_key())
-    hot = hot or hot_pairs(calls, hot_rows)
+    windows = windows or WINDOWS
+    swept = stored_since(keyed, ctx, days + reach(windows))
+    hot = hot or hot_pairs(calls, ctx, days, windows, hot_rows)
     since = ctx.midnight(days)
 
     # Of the calls before the first wanted one, only the newest of each pair can be a previous call.
     carried = dict.fromkeys([WHO_KEY, TS, *tie, "talk_duration", "code_call_result_type", "interaction_type_code"])
-    before = keyed.where(f"{TS} < {since}").select(*carried)
+    before = stored_since(keyed, ctx, max(days, HISTORY_DAYS)).where(f"{TS} < {since}").select(*carried)
     before = top_per(before, [WHO_KEY], [F.col(c).desc() for c in (TS, *tie)])
-    candidates = keyed.where(f"{TS} >= {since}").unionByName(before, allowMissingColumns=True)
+    candidates = stored_since(keyed, ctx, days).where(f"{TS} >= {since}").unionByName(before, allowMissingColumns=True)
     previous = with_previous_call(candidates, [WHO_KEY], tie, hot, hot_rows)
     wanted = previous.where(f"{TS} >= {since}").withColumn("partition_date", day_key(TS))
 
-    features = trailing_features(keyed, [WHO_KEY], windows, since, hot, hot_rows)
+    features = trailing_features(swept, [WHO_KEY], windows, since, hot, hot_rows)
     out = lookup(wanted, features, [WHO_KEY, TS], in_place=hot.keys is None)
     return out if keep_key else out.drop(WHO_KEY)
 
 
-def hot_pairs(calls: DataFrame, hot_rows: int = HOT_ROWS) -> Hot:
-    """Pairs with too many calls; the sweep has a row per window end and call, hence the divisor."""
-    return find_hot(calls.select(pair_key().alias(WHO_KEY)), [WHO_KEY], hot_rows // 6)
+def reach(windows: Mapping[str, Trailing]) -> int:
+    """Days that the longest window looks back, rounded up; the kept year for one without a start."""
+    return max(w.days if w.back else HISTORY_DAYS for w in windows.values())
+
+
+def stored_since(calls: DataFrame, ctx: RunContext, days: int) -> DataFrame:
+    """Calls stored under one of the last ``days`` days, or a little earlier: earlier partitions are not read."""
+    return calls.where(F.col("part_date") >= F.lit(ctx.day_key(days + LOOSE_DAYS)))
+
+
+def hot_pairs(
+    calls: DataFrame, ctx: RunContext, days: int, windows: Mapping[str, Trailing] | None = None, hot_rows: int = HOT_ROWS
+) -> Hot:
+    """Pairs with too many calls among those read; the sweep has a row per window end and call, hence the divisor."""
+    read = stored_since(calls, ctx, days + reach(windows or WINDOWS))
+    return find_hot(read.select(pair_key().alias(WHO_KEY)), [WHO_KEY], hot_rows // 6)

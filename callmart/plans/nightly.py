@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from callmart.context import RunContext
 from callmart.operators.scans import scan_range
+from callmart.plans.call_features import stored_since
 from callmart.plans.call_log import HISTORY_DAYS, first_source, second_source
 from callmart.plans.daily_features import COMMENTS, LOOSE_DAYS, SPAN, daily_features
 from callmart.plans.schemas import CALL_LOG
@@ -51,13 +52,16 @@ def score_night(
 ) -> None:
     """Score the stored features into today's partition, between two rows of the run log.
 
-    Source and target rows are counted from the two tables as they are on disk.
+    Source and target rows are counted from the two tables as they are on disk; the newest source date is that of
+    the stored calls of a year.
     """
 
     def work():
         features = require_columns(load(spark, root, FEATURES), KEEP, "the feature table")
         write_scores(features, scorer, ctx, f"{root}/{SCORES}")
         written = load(spark, root, SCORES).where(F.col("part_date") == ctx.day_key())
-        return features.count(), written.count(), ctx.as_of
+        stored = stored_since(load(spark, root, CALLS, CALL_LOG), ctx, HISTORY_DAYS)
+        newest = stored.agg(F.max("dtime_call_start")).first()[0]
+        return features.count(), written.count(), newest
 
     logged_run(spark, f"{root}/{RUNS}", "answer_score", str(ctx.day_key()), work, clock)

@@ -7,12 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from callmart.context import RunContext
-from callmart.functions.calendar import day_key
 from callmart.functions.phone import pair_key
 from callmart.operators.joins import lookup
 from callmart.operators.ordered import HOT_ROWS
 from callmart.operators.trailing import Trailing
-from callmart.plans.call_features import WHO_KEY, call_features, hot_pairs
+from callmart.plans.call_features import WHO_KEY, call_features, hot_pairs, stored_since
 from callmart.plans.client_attributes import PAIR, client_attributes
 from callmart.plans.engagement import ALERT_SPAN, TS, WHO, WINDOWS, engagement, since_last_call
 from callmart.session import stage
@@ -35,14 +34,14 @@ def training_frame(
     that key, or by it and the time of the call. Only when a pair is too big for one task do the
     joins shuffle anew.
     """
-    hot = hot_pairs(calls, hot_rows)
+    hot = hot_pairs(calls, ctx, days, call_windows, hot_rows)
     stay = hot.keys is None
     featured = call_features(calls, ctx, days, call_windows, keep_key=True, hot=hot, hot_rows=hot_rows)
     attributes = client_attributes(calls, clients, ctx).withColumn(WHO_KEY, pair_key()).drop(*PAIR)
     attributes = stage(attributes, "attributes")
     named = lookup(featured, attributes, [WHO_KEY], in_place=stay)
 
-    called = calls.where(day_key(TS) >= ctx.day_key(days)).select("phone_number", pair_key().alias(WHO_KEY), TS)
+    called = stored_since(calls, ctx, days).where(f"{TS} >= {ctx.midnight(days)}").select("phone_number", pair_key().alias(WHO_KEY), TS)
     moments = lookup(called.distinct(), attributes, [WHO_KEY]).select(WHO_KEY, *WHO)
     on = [WHO_KEY, TS]
     whole = engagement(named, contacts_made, ctx, message_windows, alert_span, moments, on, stay, hot_rows)

@@ -48,3 +48,4 @@ def test_nights(spark, folder, tmp_path):
     }
     last = runs.where("run_id = '20240130' and status = 'FINISHED'").first()
     assert (last["source_rows"], last["target_rows"]) == (features.count(), days[20240130])
+    assert last["max_source_date"] == stored.agg(F.max("dtime_call_start")).first()[0]

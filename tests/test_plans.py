@@ -3,11 +3,15 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as checks
 from callmart.checks.fixtures import CTX, table, view
+from callmart.checks.history import DAY_WINDOWS
 from callmart.operators.dedupe import latest_per
 from callmart.operators.scans import scan_day, scan_range
+from callmart.operators.trailing import Trailing
+from callmart.plans.call_features import call_features
 from callmart.sources import sinks
 
 NO_BROADCAST = {
@@ -38,6 +42,22 @@ def test_day_scans_prune_partitions(spark, folder, tmp_path):
         assert re.search(r"ReadSchema: struct<interaction_id:bigint>", plan(scan.select("interaction_id")))
 
 
+def test_features_of_a_day_prune_every_scan(spark, folder, tmp_path):
+    """Each scan of the calls has a day bound, and stored days out of reach change nothing."""
+    windows = {w: Trailing(t.back.replace("21", "5").replace("14", "3").replace("7", "2"), t.stop) for w, t in DAY_WINDOWS.items()}
+    calls = view(spark, folder, "fx_calls").drop("raw_phone")
+    path = str(tmp_path / "calls")
+    sinks.refresh_partitions(calls, path)
+    stored = spark.read.parquet(path)
+    pruned = call_features(stored, CTX, days=1, windows=windows)
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan(pruned))
+    assert len(filters) >= 3 and all("part_date" in f for f in filters)
+    columns = sorted(pruned.columns)
+    text = lambda df: sorted(map(str, df.select(columns).collect()))
+    whole = call_features(stored, CTX, days=30, windows=windows).where(F.col("partition_date") >= CTX.day_key(1))
+    assert text(pruned) == text(whole) != []
+
+
 def test_latest_row_is_limited_before_the_shuffle(spark, folder):
     text = plan(latest_per(view(spark, folder, "fx_contacts"), ["phone_number"], "modified_ts", "contact_id"))
     assert re.search(r"WindowGroupLimit.*Final.*WindowGroupLimit.*Partial", text, re.S)
