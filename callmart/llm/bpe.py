@@ -21,6 +21,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
@@ -197,7 +198,9 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
         token = merges(ranks).token
         for batch in batches_of(batches):
             ids = batch.column(columns.index("ids"))
-            decoded = [b"".join(map(token.__getitem__, x.as_py() or ())) for x in ids]
+            ends = np.cumsum(pc.list_value_length(ids).fill_null(0).to_numpy())[:-1]
+            each = np.split(ids.flatten().to_numpy(), ends)
+            decoded = [b"".join(map(token.__getitem__, x.tolist())) for x in each]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*columns, "decoded"])
 
     schema = encoded.schema.simpleString().removeprefix("struct<").removesuffix(">")
