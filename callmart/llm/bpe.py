@@ -4,7 +4,7 @@ A merge list says which pair of neighbouring tokens becomes one, and in which or
 text after the other, the distinct words of a block of documents are laid out in one row of tokens, and an index
 tells for each pair where in that row it stands. Merges are then applied in the order of their ranks, each at all
 places that the index lists, and each application changes the index for its two neighbours only. Texts
-are put together from their words' ids. A block is one Arrow batch; words met before are kept in a
+are put together from their words' ids. A block is a part of an Arrow batch; words met before are kept in a
 bounded table. No row leaves its task, so nothing is shuffled.
 """
 
@@ -14,7 +14,6 @@ import base64
 import heapq
 import sys
 from array import array
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
@@ -29,8 +28,11 @@ from pyspark.sql import functions as F
 
 from callmart.llm.common import batches_of, texts
 
-#: Words whose ids a task remembers between blocks; a full table starts anew.
-KNOWN_WORDS = 200_000
+#: Words whose ids a Python worker remembers between blocks and tasks, and pairs; a full table starts anew.
+KNOWN_WORDS = 300_000
+KNOWN_PAIRS = 500_000
+#: Bytes of text that make a block; a longer text is a block by itself.
+BLOCK_BYTES = 4_000_000
 #: Words laid out in one row of tokens, which bounds the index.
 REPLAYED_WORDS = 50_000
 
@@ -82,36 +84,52 @@ class Merges:
             right.append(-1)
 
         joined = self.joined
-        index: defaultdict[int, list[int]] = defaultdict(list)
-        for place, after in enumerate(right):
-            if after >= 0 and (merged := joined(ids[place], ids[after])) >= 0:
-                index[merged].append(place)  # in order, so each list is a heap
+        if len(self.pairs) > KNOWN_PAIRS:
+            self.pairs.clear()
+        # What the pair that begins at a place merges into, and the index from there to such places.
+        pair = [joined(ids[place], ids[after]) if after >= 0 else -1 for place, after in enumerate(right)]
+        index: dict[int, list[int]] = {}
+        for place, merged in enumerate(pair):
+            if merged >= 0:
+                index.setdefault(merged, []).append(place)
         waiting = list(index)
         heapq.heapify(waiting)
         while waiting:
-            merged = waiting[0]
-            places = index[merged]
-            if not places:
-                heapq.heappop(waiting)
-                del index[merged]
-                continue
-            place = heapq.heappop(places)
-            after = right[place]
-            if ids[place] < 0 or after < 0 or joined(ids[place], ids[after]) != merged:
-                continue  # a neighbour was merged meanwhile
-            beyond = right[after]
-            ids[place], ids[after], right[place] = merged, -1, beyond
-            touched = []
-            if beyond >= 0:
-                left[beyond] = place
-                touched.append((place, joined(merged, ids[beyond])))
-            if (before := left[place]) >= 0:
-                touched.append((before, joined(ids[before], merged)))
-            for where, new in touched:
-                if new >= 0:
-                    if new not in index:
-                        heapq.heappush(waiting, new)
-                    heapq.heappush(index[new], where)
+            merged = heapq.heappop(waiting)
+            places = index.pop(merged)
+            places.sort()
+            for n, place in enumerate(places):
+                if pair[place] != merged:
+                    continue  # a neighbour was merged meanwhile
+                after = right[place]
+                beyond, before = right[after], left[place]
+                ids[place], ids[after], right[place], pair[after] = merged, -1, beyond, -1
+                lowest = merged
+                if beyond >= 0:
+                    left[beyond] = place
+                    pair[place] = new = joined(merged, ids[beyond])
+                    if new >= 0:
+                        lowest = min(lowest, new)
+                        if new in index:
+                            index[new].append(place)
+                        else:
+                            index[new] = [place]
+                            heapq.heappush(waiting, new)
+                else:
+                    pair[place] = -1
+                if before >= 0:
+                    pair[before] = new = joined(ids[before], merged)
+                    if new >= 0:
+                        lowest = min(lowest, new)
+                        if new in index:
+                            index[new].append(before)
+                        else:
+                            index[new] = [before]
+                            heapq.heappush(waiting, new)
+                if lowest < merged and n + 1 < len(places):
+                    index[merged] = places[n + 1 :]
+                    heapq.heappush(waiting, merged)
+                    break
         starts.append(len(ids))
         return [[i for i in ids[a:b] if i >= 0] for a, b in pairwise(starts)]
 
@@ -156,6 +174,24 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
+@lru_cache(maxsize=1)
+def known_words(path: str, pattern: str) -> dict[str, bytes]:
+    """The ids of words met before in this Python worker, four bytes an id."""
+    return {}
+
+
+def blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of at most BLOCK_BYTES of text (column 1), or of one row."""
+    sizes = pc.binary_length(batch.column(1)).to_numpy().tolist()
+    first = total = 0
+    for row, size in enumerate(sizes):
+        if total + size > BLOCK_BYTES and row > first:
+            yield batch.slice(first, row - first)
+            first, total = row, 0
+        total += size
+    yield batch.slice(first)
+
+
 def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens and ids of every whole text.
 
@@ -167,12 +203,12 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, split = merges(ranks), splitter(pattern)
-        known: dict[str, bytes] = {}  # four bytes an id
-        for batch in batches_of(batches):
+        known = known_words(ranks, pattern)
+        for batch in (block for each in batches_of(batches) for block in blocks(each)):
             pieces = [split(t.as_py().decode()) for t in batch.column(1)]
             new = list({p for each in pieces for p in each}.difference(known))
             if len(known) + len(new) > KNOWN_WORDS:
-                known = {}
+                known.clear()
                 new = list({p for each in pieces for p in each})
             for a in range(0, len(new), REPLAYED_WORDS):
                 some = new[a : a + REPLAYED_WORDS]
