@@ -11,6 +11,7 @@ bounded table. No row leaves its task, so nothing is shuffled.
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 import sys
 from array import array
@@ -28,13 +29,14 @@ from pyspark.sql import functions as F
 
 from callmart.llm.common import batches_of, texts
 
-#: Words whose ids a Python worker remembers between blocks and tasks, and pairs; a full table starts anew.
-KNOWN_WORDS = 300_000
+#: Words whose ids a Python worker remembers between blocks and tasks: of those met lately, and of those before.
+KNOWN_WORDS = 150_000
+#: Pairs that it remembers; a full table starts anew.
 KNOWN_PAIRS = 500_000
 #: Bytes of text that make a block; a longer text is a block by itself.
 BLOCK_BYTES = 4_000_000
-#: Words laid out in one row of tokens, which bounds the index.
-REPLAYED_WORDS = 50_000
+#: Words laid out in one row of tokens, which bounds the index and keeps it near the processor.
+REPLAYED_WORDS = 4_000
 
 
 class Merges:
@@ -48,6 +50,7 @@ class Merges:
             self.token[number] = token
         self.of_byte = [self.rank[bytes([b])] for b in range(256)]
         self.pairs: dict[tuple[int, int], int] = {}
+        self.of_bytes = [[self.rank.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)]
 
     def joined(self, a: int, b: int) -> int:
         """The id of the token that two neighbours merge into, or -1."""
@@ -67,6 +70,8 @@ class Merges:
         ids: list[int] = []
         left: list[int] = []
         right: list[int] = []
+        # What the pair that begins at a place merges into.
+        pair: list[int] = []
         starts = []
         for word in words:
             first = len(ids)
@@ -76,18 +81,20 @@ class Merges:
                 ids.append(whole)
                 left.append(-1)
                 right.append(-1)
+                pair.append(-1)
                 continue
             ids.extend(self.of_byte[b] for b in word)
             left.append(-1)
             left.extend(range(first, len(ids) - 1))
             right.extend(range(first + 1, len(ids)))
             right.append(-1)
+            pair.extend(self.of_bytes[a][b] for a, b in pairwise(word))
+            pair.append(-1)
 
-        joined = self.joined
+        joined, known = self.joined, self.pairs.get
         if len(self.pairs) > KNOWN_PAIRS:
             self.pairs.clear()
-        # What the pair that begins at a place merges into, and the index from there to such places.
-        pair = [joined(ids[place], ids[after]) if after >= 0 else -1 for place, after in enumerate(right)]
+        # From what a pair merges into to the places where such a pair begins.
         index: dict[int, list[int]] = {}
         for place, merged in enumerate(pair):
             if merged >= 0:
@@ -104,12 +111,15 @@ class Merges:
                 after = right[place]
                 beyond, before = right[after], left[place]
                 ids[place], ids[after], right[place], pair[after] = merged, -1, beyond, -1
-                lowest = merged
+                lower = False
                 if beyond >= 0:
                     left[beyond] = place
-                    pair[place] = new = joined(merged, ids[beyond])
+                    new = known((merged, ids[beyond]))
+                    if new is None:
+                        new = joined(merged, ids[beyond])
+                    pair[place] = new
                     if new >= 0:
-                        lowest = min(lowest, new)
+                        lower = new < merged
                         if new in index:
                             index[new].append(place)
                         else:
@@ -118,15 +128,18 @@ class Merges:
                 else:
                     pair[place] = -1
                 if before >= 0:
-                    pair[before] = new = joined(ids[before], merged)
+                    new = known((ids[before], merged))
+                    if new is None:
+                        new = joined(ids[before], merged)
+                    pair[before] = new
                     if new >= 0:
-                        lowest = min(lowest, new)
+                        lower = lower or new < merged
                         if new in index:
                             index[new].append(before)
                         else:
                             index[new] = [before]
                             heapq.heappush(waiting, new)
-                if lowest < merged and n + 1 < len(places):
+                if lower and n + 1 < len(places):
                     index[merged] = places[n + 1 :]
                     heapq.heappush(waiting, merged)
                     break
@@ -174,10 +187,38 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
+class Known:
+    """Words met and their ids, four bytes an id: when the later table is full, it takes the place of the earlier."""
+
+    def __init__(self):
+        self.later: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+
+    def learn(self, words: set[str], table: Merges) -> dict[str, bytes]:
+        """The ids of ``words``, and of others."""
+        if len(self.later) > KNOWN_WORDS:
+            self.later, self.earlier = {}, self.later
+        again = words.difference(self.later)
+        new = list(again.difference(self.earlier))
+        again.difference_update(new)
+        self.later.update((w, self.earlier[w]) for w in again)
+        collecting = gc.isenabled()
+        gc.disable()  # the index is many small lists without a cycle
+        try:
+            for a in range(0, len(new), REPLAYED_WORDS):
+                some = new[a : a + REPLAYED_WORDS]
+                found = table.replay([w.encode() for w in some])
+                self.later.update((w, array("i", ids).tobytes()) for w, ids in zip(some, found, strict=True))
+        finally:
+            if collecting:
+                gc.enable()
+        return self.later
+
+
 @lru_cache(maxsize=1)
-def known_words(path: str, pattern: str) -> dict[str, bytes]:
-    """The ids of words met before in this Python worker, four bytes an id."""
-    return {}
+def known_words(path: str, pattern: str) -> Known:
+    """Kept in each Python worker from task to task."""
+    return Known()
 
 
 def blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -206,15 +247,8 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
         known = known_words(ranks, pattern)
         for batch in (block for each in batches_of(batches) for block in blocks(each)):
             pieces = [split(t.as_py().decode()) for t in batch.column(1)]
-            new = list({p for each in pieces for p in each}.difference(known))
-            if len(known) + len(new) > KNOWN_WORDS:
-                known.clear()
-                new = list({p for each in pieces for p in each})
-            for a in range(0, len(new), REPLAYED_WORDS):
-                some = new[a : a + REPLAYED_WORDS]
-                found = table.replay([w.encode() for w in some])
-                known.update((w, array("i", ids).tobytes()) for w, ids in zip(some, found, strict=True))
-            ids = [np.frombuffer(b"".join(map(known.__getitem__, each)), np.int32) for each in pieces]
+            of_word = known.learn({p for each in pieces for p in each}, table).__getitem__
+            ids = [np.frombuffer(b"".join(map(of_word, each)), np.int32) for each in pieces]
             counts = np.array([len(x) for x in ids], np.int64)
             offsets = np.zeros(len(ids) + 1, np.int32)
             np.cumsum(counts, out=offsets[1:])
