@@ -91,3 +91,35 @@ def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
 def op10_substrings(spark: SparkSession, folder: str) -> DataFrame:
     done = substrings.remove_repeats(read_table(spark, folder, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op9_topk"] = """
+with vectors as (
+    select vec_id, [floor(256 * cast(x as double)) for x in embedding] as v from embeddings
+    where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+),
+pairs as (
+    select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+    from vectors q join vectors c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as place from pairs)
+select query_id, cast(place as int) as rank, vec_id, score from ranked where place <= 5
+"""
+
+SQL["op10_substrings"] = r"""
+with split as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+),
+starts as (select doc_id, words, unnest(range(1, len(words) - 48)) as p from split where len(words) >= 50),
+windows as (select doc_id, p, sha256(array_to_string(words[p : p + 49], ' ')) as passage from starts),
+firsts as (select passage, min(doc_id) as first_id from windows group by passage),
+repeats as (select doc_id, p from windows join firsts using (passage) where first_id < doc_id),
+gone as (select distinct doc_id, place from (select doc_id, unnest(range(p, p + 50)) as place from repeats)),
+placed as (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from split),
+kept as (
+    select doc_id, count(*) as n, string_agg(word, ' ' order by place) as text
+    from placed anti join gone using (doc_id, place) group by doc_id
+)
+select doc_id, len(words) as n_words, len(words) - coalesce(n, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from split left join kept using (doc_id)
+"""
