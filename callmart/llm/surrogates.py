@@ -223,7 +223,9 @@ def surrogate_table(entities: DataFrame, key: str, rounds: int = ROUNDS) -> Data
     todo, granted = entities, None
     for attempt in range(rounds):
         number = F.lit(attempt)
-        proposed = todo.withColumn("surrogate", _candidate(F.col("kind"), F.col("normal"), key, number))
+        # Drawing is slow for the few bytes it reads; a given number of partitions is not coalesced.
+        spread = todo.repartition(int(todo.sparkSession.conf.get("spark.sql.shuffle.partitions")), "kind", "normal")
+        proposed = spread.withColumn("surrogate", _candidate(F.col("kind"), F.col("normal"), key, number))
         proposed = stage(proposed.withColumn("order", F.sha2(F.concat_ws("|", F.lit(key), "normal"), 256)), "proposed")
         taken = entities.select("kind", F.col("normal").alias("surrogate"))
         if granted is not None:
