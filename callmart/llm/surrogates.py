@@ -34,6 +34,8 @@ SCRIPTS = [
 # Forms of address by gender, and first names and syllables by script and gender.
 MALE_TITLES = ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Господин", "Κύριος"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "Госпожа", "Κυρία"]
+#: Forms of address that tell no gender.
+NEUTRAL_TITLES = ["Dr", "Doctor", "Prof", "Professor", "Mx"]
 FIRST_NAMES = {
     ("latin", "m"): ["Adam", "Bruno", "David", "Erik", "Felix", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Martin", "Oscar"],
     ("latin", "f"): ["Alice", "Berta", "Clara", "Diana", "Elena", "Greta", "Helen", "Irene", "Julia", "Laura", "Maria", "Nora"],
@@ -48,15 +50,33 @@ SYLLABLES = {
     "greek": ["βα", "γαλ", "δημ", "ζαν", "θεο", "καλ", "λαμ", "μαρ", "νικ", "παπ", "ραλ", "σαρ", "ταμ", "φιλ", "χαρ", "ψαρ"],
 }
 
-_TITLE = "|".join(sorted(MALE_TITLES + FEMALE_TITLES, key=len, reverse=True))
+_TITLE = "|".join(sorted(MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES, key=len, reverse=True))
+#: One word of a name, with inner capitals, apostrophes and hyphens, or an initial; it ends where its letters end.
+_TAIL = r"[\p{L}\p{M}\p{N}]"
+_WORD = rf"(?:\p{{Lu}}\.(?= \p{{Lu}})|\p{{Lu}}(?:['’]\p{{Lu}})?{_TAIL}++(?:['’-]\p{{Lu}}{_TAIL}*+)*+)"
+_PARTICLE = "(?:de|del|della|der|den|di|da|dos|du|la|le|van|von|bin|ibn|al)"
+#: What may stand between two digits of a phone number.
+_GAP = r"(?:[ .-]?\(|\)[ .-]?|[ .-])?"
+#: Phone numbers without a country's code: of ten digits, or with a 0 before the area.
+_NATIONAL = "|".join(
+    [
+        r"(?:1[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}",
+        *(rf"(?:1{gap})?[2-9][0-9]{{2}}{gap}[2-9][0-9]{{2}}{gap}[0-9]{{4}}" for gap in (" ", r"\.", "-")),
+        r"\(0[0-9]{1,4}\)[ .-]?[0-9]{2,4}(?:[ -]?[0-9]{2,4}){1,2}",
+        *(rf"0[1-9](?:{gap}[0-9]{{2}}){{4}}" for gap in (" ", r"\.", "-")),
+        r"0[1-9][0-9]{1,3}[ /-](?:[0-9]{6,8}|[0-9]{3,4}[ -][0-9]{3,5})",
+    ]
+)
 #: Where each type begins and ends. Nothing is tried twice inside one run of characters, so long runs cost no more.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}+\.){3}[0-9]{1,3}+(?!\.?[\p{L}\p{N}])",
-    "phone": r"(?<![\p{L}\p{N}+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}(?![\p{L}\p{N}])",
-    "card": r"(?<![\p{L}\p{N}.-])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){3})(?![\p{L}\p{N}])",
-    "name": r"(?<![\p{L}\p{N}])(?:" + _TITLE + r")\.? \p{Lu}\p{Ll}++(?: \p{Lu}\p{Ll}++)?",
+    # Numbers of the codes 1 and 7 have ten digits more, others 15 at most in all.
+    "phone": r"(?<![\p{L}\p{N}+])\+(?:[17](?:" + _GAP + r"[0-9]){10}|[0-9](?:" + _GAP + r"[0-9]){6,14})(?![\p{L}\p{N}])"
+    r"|(?<![\p{L}\p{N}+.-])(?:" + _NATIONAL + r")(?![\p{L}\p{N}]|[.-][0-9])",
+    "card": r"(?<![\p{L}\p{N}.-])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![\p{L}\p{N}])",
+    "name": r"(?<![\p{L}\p{N}])(?:" + _TITLE + r")\.? " + _WORD + "(?: (?:" + _PARTICLE + " ){0,2}" + _WORD + "){0,3}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _HINT = r"[0-9]{2}|@|(?:" + _TITLE + r")\.? \p{Lu}"
@@ -68,6 +88,8 @@ def _type(entity: Column) -> Column:
     kind = kind.when(entity.rlike(r"^\p{L}++\.? \p{Lu}"), "name")
     kind = kind.when(entity.startswith("+"), "phone")
     kind = kind.when(entity.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), "ip")
+    number = entity.rlike(r"^[0-9() ./-]+$")
+    kind = kind.when(number & (F.length(F.regexp_replace(entity, "[^0-9]", "")) < 13), "phone")
     kind = kind.when(entity.rlike(r"^[0-9]{13,19}$") | entity.rlike(r"[ -]"), "card")
     return kind.otherwise("secret")
 
@@ -80,13 +102,14 @@ def _normal(kind: Column, entity: Column) -> Column:
         F.when(kind.isin("phone", "card"), digits)
         .when(kind == "ip", octets)
         # A title is not part of the name, its gender is.
-        .when(kind == "name", F.concat(_gender(entity), F.lit(":"), F.lower(F.regexp_replace(entity, r"^\p{L}++\.? ", ""))))
+        .when(kind == "name", F.concat(_gender(entity), F.lit(":"), F.lower(F.translate(F.regexp_replace(entity, r"^\p{L}++\.? ", ""), "’", "'"))))
         .otherwise(F.lower(entity))
     )
 
 
 def _gender(name: Column) -> Column:
-    return F.when(F.regexp_extract(name, r"^(\p{L}++)", 1).isin(*MALE_TITLES), "m").otherwise("f")
+    title = F.regexp_extract(name, r"^(\p{L}++)", 1)
+    return F.when(title.isin(*MALE_TITLES), "m").when(title.isin(*NEUTRAL_TITLES), "n").otherwise("f")
 
 
 def _script(name: Column) -> Column:
@@ -134,6 +157,10 @@ def _pick(values: list[str], number: Column) -> Column:
     return F.get(F.array([F.lit(v) for v in values]), number)
 
 
+#: The country's code that a number begins with.
+_CODE = "^(?:[017]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+
+
 def _candidate(kind: Column, normal: Column, key: str, attempt: Column) -> Column:
     """The surrogate, in normal form, that an entity derives on an attempt."""
     seed = F.sha2(F.concat_ws("|", F.lit(key), kind, normal, attempt.cast("string")), 256)
@@ -142,12 +169,15 @@ def _candidate(kind: Column, normal: Column, key: str, attempt: Column) -> Colum
     body = F.substring(card, F.lit(1), F.length(card) - 1)
     check = F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
     card = F.when(_luhn(normal) % 10 == 0, F.concat(body, check)).otherwise(card)
-    phone = F.concat(
-        F.substring(normal, F.lit(1), F.length(normal) - 10),
+    code = F.length(F.regexp_extract(normal, _CODE, 0))
+    whole = F.concat(
+        F.substring(normal, F.lit(1), code),
         (_drawn(seed, F.lit("area"), 800) + 200).cast("string"),
         _digits(F.lit(7), F.lit(""), seed),
     )
-    phone = F.when(F.length(normal) > 10, phone).otherwise(_digits(F.length(normal), F.substring(normal, 1, 1), seed))
+    phone = F.when(F.length(normal) == code + 10, whole)
+    kept = F.when(F.length(normal) > 10, code + 1).otherwise(F.lit(1))
+    phone = phone.otherwise(_digits(F.length(normal), F.substring(normal, F.lit(1), kept), seed))
     octets = [(_drawn(seed, F.lit(f"o{i}"), 254) + 1).cast("string") for i in range(4)]
     # A domain of its own for each domain, under the names reserved for examples.
     local, domain = F.substring_index(normal, "@", 1), F.substring_index(normal, "@", -1)
@@ -183,8 +213,8 @@ def _name(normal: Column, seed: Column, attempt: Column) -> Column:
     for s, syllables in SYLLABLES.items():
         parts = F.transform(F.sequence(F.lit(1), attempt + 3), _drawn_from(syllables, seed))
         surname = F.when(script == s, F.array_join(parts, "")).otherwise(surname)
-        for g in "mf":
-            own = [x.lower() for x in FIRST_NAMES[s, g]]
+        for g in "mfn":
+            own = [x.lower() for h in ("mf" if g == "n" else g) for x in FIRST_NAMES[s, h]]
             first = F.when((script == s) & (gender == g), _pick(own, _drawn(seed, F.lit("first"), len(own)))).otherwise(first)
     return F.concat(gender, F.lit(":"), F.when(name.contains(" "), F.concat_ws(" ", first, surname)).otherwise(surname))
 

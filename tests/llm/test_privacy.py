@@ -95,3 +95,35 @@ def test_distinct_entities_stay_distinct(spark):
 
 def test_no_rows(spark):
     assert surrogates.replace_private(empty(spark), "key").count() == 0
+
+
+FORMS = [
+    "+33 6 12 34 56 78", "+33 1 42 68 53 00", "+49 30 12 34 56 78", "+44 (0)20 7946 0958", "+1 974 555 3436", "+19745553436",
+    "(743) 555-3824", "743-555-3824", "1-743-555-3824", "06 12 34 56 78", "020 7946 0958", "(030) 1234 5678",
+    "3782 822463 10005", "4539 5787 6362 1486",
+    "Mr. John McDonald", "Mrs. Anna Smith-Jones", "Ms. Maria Garcia Lopez", "Mr. O'Neil", "Dr. John Smith", "Mr. J. Smith", "Herr Jan van der Berg",
+]
+
+
+def test_each_form_is_found_whole(spark):
+    """Alone, with nothing else in the text that hints at private data, and in a sentence."""
+    rows = [(2 * i + k, t) for i, x in enumerate(FORMS) for k, t in enumerate((x, f"so, {x}, or ({x}); then {x}."))]
+    found = {r.doc_id: r for r in surrogates.replace_private(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for i, form in enumerate(FORMS):
+        alone, inside = found[2 * i], found[2 * i + 1]
+        assert alone.n_entities == 1 and inside.n_entities == 3, form
+        assert inside.text == f"so, {alone.text}, or ({alone.text}); then {alone.text}.", form
+        for part in re.findall(r"\w{3,}", form.split(" ", 1)[-1] if form[0] in "MDH" else ""):
+            assert part not in alone.text, form
+        if form[0] in "+(0123456789" and "." not in form and not form[1].isalpha():
+            assert re.sub("[0-9]", "0", alone.text) == re.sub("[0-9]", "0", form) and alone.text != form
+    assert found[0].text.startswith("+33 6") and found[4].text.startswith("+49 ")
+
+
+def test_what_only_looks_private_stays(spark):
+    texts = ["in 2019-2020 about 200, 300 and 4000", "01.02.2024 10:30", "Smith-like, version 1.2.3", "+1 and +25 degrees", "10 - 12, 1 000 000"]
+    docs = spark.createDataFrame(list(enumerate([*texts, "Mr. Smith's dog and Mr. Smith I saw"])), "doc_id long, text string")
+    found = {r.doc_id: r for r in surrogates.replace_private(docs, "key").collect()}
+    assert [found[i].text for i in range(len(texts))] == texts
+    name = re.fullmatch(r"Mr\. (\w+)'s dog and Mr\. (\w+) I saw", found[len(texts)].text)
+    assert name[1] == name[2] != "Smith"
