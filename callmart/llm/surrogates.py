@@ -79,7 +79,8 @@ PATTERNS = {
     "name": r"(?<![\p{L}\p{N}])(?:" + _TITLE + r")\.? " + _WORD + "(?: (?:" + _PARTICLE + " ){0,2}" + _WORD + "){0,3}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_HINT = r"[0-9]{2}|@|(?:" + _TITLE + r")\.? \p{Lu}"
+#: Cheaper than the patterns, and found in whatever one of them fits.
+_HINT = r"[0-9]{2}|@|[0-9]\.[0-9]|\+[0-9]|[0-9a-f]{32}|[0-9A-F]{32}|(?:" + _TITLE + r")\.? \p{Lu}"
 
 
 def _type(entity: Column) -> Column:

@@ -102,6 +102,7 @@ FORMS = [
     "(743) 555-3824", "743-555-3824", "1-743-555-3824", "06 12 34 56 78", "020 7946 0958", "(030) 1234 5678",
     "3782 822463 10005", "4539 5787 6362 1486",
     "Mr. John McDonald", "Mrs. Anna Smith-Jones", "Ms. Maria Garcia Lopez", "Mr. O'Neil", "Dr. John Smith", "Mr. J. Smith", "Herr Jan van der Berg",
+    "8.8.8.8", "1.2.3.4", "a1b2c3d4" * 4, "abcdefab" * 4, "DEADBEEF" * 4,
 ]
 
 
