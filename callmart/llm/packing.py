@@ -40,10 +40,11 @@ class WordTokens(dict):
 
     A vocabulary of the kind "lower case, byte-level merges, words that end in </w>": its merges are written as ranks
     of byte strings, where the byte 0xFF, which no UTF-8 text holds, stands for the end of a word. Words met
-    before are looked up.
+    before are looked up. With ``added``, the vocabulary's added tokens are read where a text writes them, as the library
+    does; else their characters are text like other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -53,6 +54,10 @@ class WordTokens(dict):
         others = [b for b in range(256) if b not in printable]
         self.byte_of = byte_of = {chr(b): b for b in printable} | {chr(256 + n): b for n, b in enumerate(others)}
         special = {x["content"] for x in described["added_tokens"]}
+        # They hold no white space and are taken from the text as it stands, so a word can be split at them.
+        self.added = {x["content"]: x["id"] for x in described["added_tokens"]} if added else {}
+        longest = sorted(map(re.escape, self.added), key=len, reverse=True)
+        self.at_added = re.compile(f"({'|'.join(longest)})") if longest else None
         ranks = {}
         for token, number in described["model"]["vocab"].items():
             if token not in special:
@@ -65,6 +70,11 @@ class WordTokens(dict):
 
     def ids_of(self, word: bytes) -> bytes:
         text = word.decode()
+        if self.at_added and self.at_added.search(text):
+            parts = self.at_added.split(text)
+            return b"".join(
+                np.array([self.added[x]], "<u4").tobytes() if k % 2 else self.ids_of(x.encode()) for k, x in enumerate(parts) if x
+            )
         if plain := _PLAIN.fullmatch(text):
             ids = self.merge(plain[1].lower().encode() + END)
             if plain[2]:
@@ -89,12 +99,12 @@ END = b"\xff"
 
 
 @lru_cache(maxsize=2)
-def word_tokens(path: str) -> WordTokens:
+def word_tokens(path: str, added: bool = False) -> WordTokens:
     """Read once in each Python worker."""
-    return WordTokens(path)
+    return WordTokens(path, added)
 
 
-def pieces(docs: DataFrame, vocabulary: str, size: int, end: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, size: int, end: int = 0, added: bool = False) -> DataFrame:
     """Every document's ids and the id ``end``, cut every ``size`` ids.
 
     The vocabulary's own splitting never crosses white space, so words between blanks and controls 9 to 13 are
@@ -102,7 +112,7 @@ def pieces(docs: DataFrame, vocabulary: str, size: int, end: int = 0) -> DataFra
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = word_tokens(vocabulary).__getitem__
+        ids_of = word_tokens(vocabulary, added).__getitem__
         stop = np.array([end], "<u4").tobytes()
         for batch in batches_of(batches):
             rows, out = [], []
@@ -219,9 +229,9 @@ def pack(pieces: DataFrame, size: int, group_pieces: int = GROUP_PIECES) -> Data
 def pack_documents(docs: DataFrame, vocabulary: str, size: int = 2048, end: int = 0, with_ids: bool = False) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset, and its ids if asked for.
 
-    Missing and empty texts are the id ``end`` alone. Rows without doc_id are packed like others, repeated rows each on
+    Added tokens that a text writes are read as such. Missing and empty texts are the id ``end`` alone. Rows without doc_id are packed like others, repeated rows each on
     their own; columns other than doc_id and text are not read. Ids travel with their pieces only if
     ``with_ids`` is set.
     """
-    cut = pieces(docs, vocabulary, size, end)
+    cut = pieces(docs, vocabulary, size, end, added=True)
     return pack(stage(cut if with_ids else cut.drop("ids"), "pieces"), size)

@@ -168,3 +168,20 @@ def test_place_takes_the_smallest_sum_of_squares():
         assert level.get(at, 0) == off and off + s <= size
         assert squares({at: off + s} if at in level else {-1: s}) == min(options)
         level[at] = off + s
+
+
+def test_added_tokens_in_texts_are_read_as_the_library_does(spark):
+    library = Tokenizer.from_file(VOCABULARY)
+    rows = [
+        (1, "a <|endoftext|> b"),
+        (2, "one<|endoftext|><|startoftext|>two <|ENDOFTEXT|> <|endoftext| >"),
+        (3, "<|endoftext|>"),
+        (4, "é<|startoftext|>́x 12<|endoftext|>34 <|<|endoftext|>|>"),
+        (5, "nothing added"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in packing.pack_documents(docs, VOCABULARY, with_ids=True).collect()}
+    for i, text in rows:
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        assert np.frombuffer(found[i].ids, "<u4").tolist() == ids and found[i].length == len(ids)
+        assert found[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
