@@ -39,12 +39,13 @@ def python_fold(doc_id: int, folds: int) -> int:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, training: Column, rows: int, max_bytes: int
+    docs: DataFrame, labels: DataFrame, label: str, training: Column, rows: int, max_bytes: int, required: bool = False
 ) -> list[tuple[bytes, int]]:
     """At most ``rows`` labelled texts and ``max_bytes`` of text, for fitting a model on the driver.
 
     Rows are taken in the order of a hash of the id, so that the sample is even over the corpus and
-    the same on every run. Both bounds are parameters of the models that call this. The ids are
+    the same on every run. A text that does not fit any more is passed over, and the next ones are tried. If labelled
+    texts exist and none fits, the sample is empty, or an error if it is ``required``. Both bounds are parameters of the models that call this. The ids are
     chosen on the narrow label table, so one pass over the documents is enough.
     """
     order = F.xxhash64("doc_id")
@@ -57,17 +58,21 @@ def labelled_sample(
     )
     # At most ``rows`` rows of two numbers.
     found = texts(docs).join(F.broadcast(chosen), "doc_id").withColumn("order", order)
-    found = stage(found.withColumn("bytes", F.octet_length("text").cast("long")), "sample")
-    sizes = found.select("order", "doc_id", "bytes").orderBy("order", "doc_id", "bytes").limit(2 * rows).collect()
-    total, last = 0, None
-    for r in sizes:
-        total += r["bytes"]
-        if total > max_bytes:
-            break
-        last = r["order"]
-    if last is None:
+    found = found.withColumn("bytes", F.octet_length("text").cast("long")).withColumn("row", F.monotonically_increasing_id())
+    found = stage(found.withColumn("tie", F.xxhash64("text")), "sample")
+    by = ["order", "doc_id", "bytes", "tie", "row"]
+    total, taken, first = 0, [], None
+    for r in found.select(*by).orderBy(*by).limit(2 * rows).collect():
+        if total + r["bytes"] <= max_bytes:
+            total += r["bytes"]
+            taken.append((r["row"],))
+        elif required and not taken:
+            first = first or r
+    if not taken:
+        if first:
+            raise ValueError(f"no labelled text fits into {max_bytes} bytes; the first one has {first['bytes']}")
         return []
-    kept = found.where(F.col("order") <= last).orderBy("order", "doc_id", "bytes").limit(2 * rows)
+    kept = found.join(F.broadcast(docs.sparkSession.createDataFrame(taken, "row long")), "row").orderBy(*by)
     return [(bytes(r["text"]), r["label"]) for r in kept.select("text", "label").collect()]
 
 

@@ -55,7 +55,7 @@ def op4_shards(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
-    model = toxicity.train(docs, labels, crc_fold("doc_id", 5) != 0)
+    model = toxicity.train(docs, labels, crc_fold("doc_id", 5) != 0, required=True)
     return toxicity.score(docs, model).select(
         "doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", F.size("offending").alias("n_offending")
     )

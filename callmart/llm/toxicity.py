@@ -136,9 +136,13 @@ def train(
     training: Column,
     rows: int = SAMPLE_ROWS,
     max_bytes: int = SAMPLE_BYTES,
+    required: bool = False,
 ) -> SentenceModel:
-    """Fit on the labelled documents for which ``training`` holds, up to both bounds."""
-    return fit(labelled_sample(docs, labels, "toxic", training, rows, max_bytes))
+    """Fit on the labelled documents for which ``training`` holds, up to both bounds.
+
+    With ``required``, labelled documents of which none fits into the bounds are an error.
+    """
+    return fit(labelled_sample(docs, labels, "toxic", training, rows, max_bytes, required))
 
 
 def score(docs: DataFrame, model: SentenceModel, threshold: float = 0.5) -> DataFrame:

@@ -10,7 +10,7 @@ from cases import WORD, awkward, empty, prose, table
 from pyspark.sql import functions as F
 
 from callmart.llm import outliers, quality, toxicity
-from callmart.llm.common import crc_fold
+from callmart.llm.common import crc_fold, labelled_sample
 from callmart.llm.queries import QUERIES
 
 LARGE = "/root/testdata/sf0.1"
@@ -175,3 +175,17 @@ def test_covariance_determinant(spark):
             own = np.argsort(d)[: len(x) // 2]
         best = min(best, logdet(own))
     assert found[0].logdet <= best + 0.3
+
+
+def test_a_text_that_does_not_fit_is_passed_over(spark):
+    """The first in hash order is longer than all others together."""
+    ids = [r.doc_id for r in spark.range(50).select(F.col("id").alias("doc_id")).orderBy(F.xxhash64("doc_id")).collect()]
+    rows = [(i, "x" * 5000 if i == ids[0] else f"text {i:03d}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    draw = lambda size, **more: labelled_sample(docs, labels, "toxic", F.lit(True), 100, size, **more)
+    assert draw(1000) == [(f"text {i:03d}".encode(), i % 2) for i in ids[1:]]
+    assert draw(16) == [(f"text {i:03d}".encode(), i % 2) for i in ids[1:3]]
+    assert draw(5) == []
+    with pytest.raises(ValueError, match="fits"):
+        draw(5, required=True)
