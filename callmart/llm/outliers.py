@@ -25,8 +25,9 @@ from callmart.session import stage
 SMALL_GROUP = 200
 #: Concentration steps.
 STEPS = 5
-#: Distance, in robust standard deviations of its group, beyond which a row is rejected.
-CUT = 12.0
+#: Distance beyond which a row is rejected: the point that one row in a million of a normal cloud lies beyond, of a chi
+#: with five degrees of freedom. Ordinary texts have heavier tails, so more of them are rejected.
+CUT = 5.99
 #: Least variance of each transformed statistic: differences below its root are never remarkable.
 FLOOR = 0.04**2
 #: Accuracy of the distance that half the rows keep within: one part in so many of the rows.

@@ -189,3 +189,23 @@ def test_a_text_that_does_not_fit_is_passed_over(spark):
     assert draw(5) == []
     with pytest.raises(ValueError, match="fits"):
         draw(5, required=True)
+
+
+def test_moderate_outliers_are_rejected(spark):
+    """A few in a hundred with 0.3 to 0.5 symbols a word, or with 30 to 45 % of their lines repeated; ordinary ones stay."""
+    rnd = random.Random(12)
+    rows = []
+    for i in range(800):
+        words = [rnd.choice("abcdefgh") * rnd.randint(2, 9) + str(rnd.randint(0, 99)) for _ in range(rnd.randint(100, 300))]
+        lines = [" ".join(words[k : k + 5]) for k in range(0, len(words), 5)]
+        odd = i % 20 if i % 20 < 2 else None
+        if odd == 0:
+            lines = [line.replace(" ", "$ ", 2) if rnd.random() < rnd.uniform(0.75, 1.0) else line for line in lines]
+        if odd == 1:
+            lines += [rnd.choice(lines[:3])] * round(len(lines) * rnd.uniform(0.45, 0.8))
+        rows.append((i, "\n".join(lines), "en", "web", odd is not None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, odd boolean")
+    found = {r.doc_id: r for r in outliers.judge(docs).collect()}
+    odd = [found[i] for i, _, _, _, x in rows if x and not found[i].base_failed]
+    assert len(odd) >= 40 and not any(r.kept for r in odd)
+    assert sum(not found[i].kept for i, _, _, _, x in rows if not x) <= 8
