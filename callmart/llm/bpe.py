@@ -16,7 +16,7 @@ import heapq
 import sys
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -50,7 +50,11 @@ class Merges:
             self.token[number] = token
         self.of_byte = [self.rank[bytes([b])] for b in range(256)]
         self.pairs: dict[tuple[int, int], int] = {}
-        self.of_bytes = [[self.rank.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)]
+
+    @cached_property
+    def of_bytes(self) -> list[list[int]]:
+        """The id of the token of each two bytes, or -1."""
+        return [[self.rank.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)]
 
     def joined(self, a: int, b: int) -> int:
         """The id of the token that two neighbours merge into, or -1."""
