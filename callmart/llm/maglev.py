@@ -64,7 +64,8 @@ def assign(rows: DataFrame, key: str, shards: Sequence[str], slots: int = SLOTS,
     spark = rows.sparkSession
     table = spark.createDataFrame(list(enumerate(lookup_table(shards, slots, turns))), "_slot long, _shard string")
     kept = [c for c in rows.columns if c.lower() not in ("slot", "shard")]
-    placed = rows.withColumn("_at", slot_of(key, slots))
+    # Everything of the row in one column, so that no name of it can clash.
+    placed = rows.select(slot_of(key, slots).alias("_at"), F.struct("*").alias("_row"))
     return placed.join(F.broadcast(table), F.col("_at") == F.col("_slot")).select(
-        *kept, F.col("_at").alias("slot"), F.col("_shard").alias("shard")
+        *[F.col("_row")[c].alias(c) for c in kept], F.col("_at").alias("slot"), F.col("_shard").alias("shard")
     )

@@ -261,11 +261,14 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFra
 
 
 def keep_first(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
-    """The rows that stay: of each component those with its smallest doc_id. Rows without doc_id stay too."""
+    """The rows that stay: of each component those with its smallest doc_id. Rows without doc_id stay too.
+
+    An empty table stays empty. Other columns may have any names.
+    """
     gone = (
         near_duplicates(docs, words, radius)
         .where("doc_id <> component_id")
-        .select(F.col("doc_id").alias("gone"))
+        .select(F.col("doc_id").alias("_gone_id"))
         .distinct()
     )
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone_id"], "left_anti")
