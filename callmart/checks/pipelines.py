@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from callmart.checks.fixtures import CTX, view
@@ -22,18 +23,20 @@ from callmart.checks.history import (
 from callmart.checks.registry import AS_OF, OK, check, d
 from callmart.checks.relational import LEGS_SQL, PAIR, slot_sql
 from callmart.checks.scalars import RATES_SQL
-from callmart.operators import dedupe, scoring
+from callmart.operators import dedupe, delivery, scoring
 from callmart.operators.quality import profile
+from callmart.operators.trees import forest
 from callmart.plans import call_features as P2
 from callmart.plans import call_log as P1
 from callmart.plans import client_attributes as P3
 from callmart.plans import daily_features as P5
 from callmart.plans import engagement as P4
 from callmart.plans import scores as P6
+from callmart.plans.day_table import backfill_day_rows, features_of_day, write_day_rows
 from callmart.plans.schemas import CALL_LOG, SECOND_SOURCE_DEFAULTS
 from callmart.plans.training import training_frame as build_training
 from callmart.session import new_path, stage
-from callmart.sources import sinks
+from callmart.sources import published, sinks
 from callmart.sources.tables import align_to
 
 SPAN, LOOSE = "21 DAYS", 25
@@ -89,9 +92,7 @@ RAW = {
 }
 
 
-@check(
-    "call_log",
-    f"""select f.interaction_id, media_server_ixn_guid as callid, s.cuid,
+_CALL_LOG_SQL = f"""select f.interaction_id, media_server_ixn_guid as callid, s.cuid,
       right(if(interaction_type = 'Outbound', coalesce(contact_info, target_address), source_address), 10) as phone_number,
       make_timestamp((start_ts + 21600) * 1000000) as dtime_call_start, make_timestamp((end_ts + 21600) * 1000000) as dtime_call_end,
       dayname(make_timestamp((start_ts + 21600) * 1000000)) as weekday, h.h_date,
@@ -117,15 +118,22 @@ RAW = {
     left join (select *, row_number() over (partition by id_ses order by begin_action desc, id_action desc) as n from raw_session_action) sa
       on sa.id_ses = f.media_server_ixn_guid and sa.n = 1
     left join raw_action act on act.id = sa.id_action
-    union all by name {_ALIGNED_SQL} from owned""",
-    LEGS_SQL,
-    _OWNED_LEGS,
-)
+    union all by name {_ALIGNED_SQL} from owned"""
+
+
+@check("call_log", _CALL_LOG_SQL, LEGS_SQL, _OWNED_LEGS)
 def call_log(spark, folder):
     contacts = view(spark, folder, "fx_contacts").withColumnRenamed("external_id", "cuid")
     return P1.call_log({name: view(spark, folder, v) for name, v in RAW.items()}, contacts, CTX)
 
 
+@check("call_log_day", f"select * from ({_CALL_LOG_SQL}) where part_date = {d(1)}", LEGS_SQL, _OWNED_LEGS)
+def call_log_day(spark, folder):
+    """Yesterday alone, with the lookups narrowed to what yesterday's calls can meet."""
+    contacts = view(spark, folder, "fx_contacts").withColumnRenamed("external_id", "cuid")
+    return P1.call_log({name: view(spark, folder, v) for name, v in RAW.items()}, contacts, CTX, 1, 1, narrow=True)
+
+
 # --- P2 ---------------------------------------------------------------------------------------
 
 _SLOTS_OF_PAIRS = slot_sql().replace(OK, "ok")
@@ -151,6 +159,21 @@ def call_features(spark, folder):
     return P2.call_features(view(spark, folder, "fx_calls"), CTX, windows=DAY_WINDOWS)
 
 
+@check(
+    "nightly_features",
+    f"select previous.*, features.* exclude (id) from previous join features on id = interaction_id where partition_date = {d(1)}",
+    pairs_sql(),
+    _FEATURES_SQL,
+    _PREVIOUS_SQL,
+)
+def nightly_features(spark, folder):
+    """Yesterday's calls from a stored table of days and the calls of the days in which windows begin."""
+    calls, path = view(spark, folder, "fx_calls"), new_path(spark, "call-days")
+    backfill_day_rows(calls.where(F.col("part_date") < d(1)), path)
+    write_day_rows(calls, CTX, path)
+    return features_of_day(calls, spark.read.parquet(path), CTX, DAY_WINDOWS)
+
+
 # --- P3 ---------------------------------------------------------------------------------------
 
 CLIENTS = {
@@ -471,6 +494,88 @@ def score_output(spark, folder):
     return out.withColumn("SCORE", F.round("SCORE", 6))
 
 
+TREES = [
+    ("cnt_in_calls_6m", 1.5, ("rate_connect_mor", 0.25, 0.2, ("past_days_last_call", 9.5, 0.45, 0.35)), ("rate_connect_even", 0.5, 0.6, 0.8)),
+    ("past_days_last_succ_call", 2.5, ("past_days_last_succ_call", -0.5, 0.1, 0.7), ("cnt_success_sms_6m", 3.5, 0.3, ("rate_connect_friday", 0.1, 0.25, 0.4))),
+    ("pif_phone_type_code", 4.5, 0.35, 0.5),
+]
+TREE_FEATURES = [
+    "cnt_in_calls_6m", "rate_connect_mor", "past_days_last_call", "rate_connect_even", "past_days_last_succ_call", "cnt_success_sms_6m",
+    "rate_connect_friday", "pif_phone_type_code",
+]
+
+
+def tree_sql(node) -> str:
+    if not isinstance(node, tuple):
+        return repr(float(node))
+    name, threshold, left, right = node
+    return f"case when {name} <= {threshold} then {tree_sql(left)} else {tree_sql(right)} end"
+
+
+@check(
+    "score_trees",
+    f"""select phone_number, cuid, round(({' + '.join(tree_sql(t) for t in TREES)}) / {len(TREES)}, 6) as score
+    from daily where length(phone_number) in (10, 11)""",
+    *_DAILY_SQL,
+)
+def score_trees(spark, folder):
+    """A forest walked by column expressions."""
+    rows = P6.scored(features(spark, folder), forest(TREE_FEATURES, TREES).column(), CTX, TREE_FEATURES)
+    return rounded(rows)
+
+
+_DAILY_ROWS = "(select *, 3 as weekday from daily)"
+
+
+@check(
+    "monthly_scores",
+    f"""select segment, phone_number as PHONE_NUMBER, cuid as ID_CUID, '31.01.2024' as DATE_, round(score, 6) as SCORE, 20240131 as SK_DATE_SCORE,
+    cast(ceil(10.0 * row_number() over (partition by segment order by score desc, phone_number, cuid) / count(*) over (partition by segment)) as int) as SCORE_GROUP,
+    '31.01.2024 00:00:00' as SK_DTIME_SCORE from rows_ where length(phone_number) in (10, 11)""",
+    *_DAILY_SQL,
+    _ROWS_SQL,
+)
+def monthly_scores(spark, folder):
+    """Both segments in the output's columns."""
+    segments = {
+        "all": (F.lit(True), linear(), list(WEIGHTS)),
+        "primary": (F.col("pif_phone_type_code") == 9, F.round(scoring.logistic(MOBILE_WEIGHTS), 12), list(MOBILE_WEIGHTS)),
+    }
+    out = P6.monthly_output(features(spark, folder), segments, CTX)
+    return out.withColumn("SCORE", F.round("SCORE", 6))
+
+
+# Two tables as far as the key hash goes: what slices hold, and how often each was loaded.
+@check(
+    "export_ledger",
+    """select cast(chunk_no as bigint) as chunk_no, count(*) as rows,
+    bit_xor(cast('0x' || left(md5(phone_number || '|' || cast(cuid as varchar)), 15) as bigint)) as key_hash, 1 as loads
+    from (select *, (row_number() over (order by round(score, 12) desc, phone_number, cuid) - 1) // 500 as chunk_no from scored) group by chunk_no""",
+    *RANK,
+)
+def export_ledger(spark, folder):
+    """Slices loaded by a first call that fails at its second slice and by one that goes on: each once."""
+    order = [F.col("score").desc(), F.col("phone_number").asc(), F.col("cuid").asc()]
+    rows, ledger, target = stage(scored(spark, folder), "scored"), new_path(spark, "ledger"), new_path(spark, "target")
+    load, calls = delivery.to_folder(target), []
+
+    def failing(part, chunk_no):
+        calls.append(chunk_no)
+        if len(calls) == 2:
+            raise ConnectionError("lost")
+        load(part, chunk_no)
+
+    try:
+        delivery.deliver(rows, order, 500, PAIR, failing, ledger, "scores")
+    except ConnectionError:
+        pass
+    delivery.deliver(rows, order, 500, PAIR, failing, ledger, "scores")
+    there = delivery.slice_plan(spark.read.parquet(target), PAIR).withColumnRenamed("chunk_no", "_chunk")
+    loads = delivery.read_ledger(spark, ledger).groupBy("chunk_no", "rows", "key_hash").agg(F.count(F.lit(1)).cast("int").alias("loads"))
+    same = (F.col("_chunk") == F.col("chunk_no")) & (there["rows"] == loads["rows"]) & (there["key_hash"] == loads["key_hash"])
+    return loads.join(there, same, "left_semi")
+
+
 # --- sinks ------------------------------------------------------------------------------------
 
 
@@ -487,6 +592,47 @@ def refresh_idempotent(spark, folder):
     return spark.read.parquet(path)
 
 
+@check("published_days", "select part_date, interaction_id, talk_duration from fx_calls")
+def published_days(spark, folder):
+    """Days published at once, one of them twice, after a writer that died: readers see whole days only."""
+    rows = view(spark, folder, "fx_calls").select("part_date", "interaction_id", "talk_duration")
+    path = new_path(spark, "published")
+    days = [r["part_date"] for r in rows.select("part_date").distinct().collect()]
+    of_day = lambda d_: rows.where(F.col("part_date") == d_)
+    published.publish_days({d_: of_day(d_) for d_ in days}, path)
+    # What a writer leaves that ends before its manifest.
+    of_day(days[0]).limit(1).write.parquet(f"{path}/data/part_date={days[0]}/attempt=broken")
+    published.publish_days({days[1]: of_day(days[1])}, path)
+    return published.read_published(spark, path)
+
+
+@check(
+    "clustered_files",
+    "select count(*) as rows, 0 as overlaps, 0 as unsorted from fx_calls",
+)
+def clustered_files(spark, folder):
+    """Files of one day hold phone ranges that do not overlap, each sorted."""
+    rows = view(spark, folder, "fx_calls").select("part_date", "phone_number", "interaction_id")
+    path = new_path(spark, "clustered")
+    sinks.rebuild(rows, path, ["part_date"], ["phone_number", "interaction_id"], cluster=True)
+    return file_ranges(spark.read.parquet(path), "part_date", ["phone_number", "interaction_id"])
+
+
+def file_ranges(table, partition: str, keys: list[str]):
+    """Rows of a stored table, its files whose key range begins before the one before ends, and rows out of order in a file."""
+    key = F.struct(*keys)
+    placed = table.select(partition, key.alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    in_file = Window.partitionBy("file").orderBy("place")
+    placed = placed.withColumn("before", F.lag("key").over(in_file))
+    files = placed.groupBy(partition, "file").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"), F.count_if(F.col("key") < F.col("before")).alias("unsorted")
+    )
+    before = F.max("high").over(Window.partitionBy(partition).orderBy("low", "file").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("below", before).agg(
+        F.sum("rows").alias("rows"), F.count_if(F.col("low") < F.col("below")).cast("int").alias("overlaps"), F.sum("unsorted").cast("int").alias("unsorted")
+    )
+
+
 @check("rebuild_roundtrip", "select part_date, phone_number, interaction_id from fx_calls")
 def rebuild_roundtrip(spark, folder):
     """A table rebuilt twice, partitioned by day and sorted by phone."""

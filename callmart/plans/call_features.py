@@ -89,6 +89,10 @@ def measures() -> dict[str, str]:
     return out
 
 
+# Start of a call that was answered.
+LAST_SUCCESS = f"if({SUCCESS}, {TS}, null)"
+
+
 def trailing_features(
     calls: DataFrame,
     keys: list[str] = KEYS,
@@ -96,8 +100,13 @@ def trailing_features(
     since: str | None = None,
     hot: Hot | None = None,
     hot_rows: int = HOT_ROWS,
+    events: DataFrame | None = None,
 ) -> DataFrame:
-    """Trailing counts, averages and last success per key and call start, in one pass."""
+    """Trailing counts, averages and last success per key and call start, in one pass.
+
+    The calls are each other's history, unless ``events`` holds it: rows of (keys, start, ``measured`` columns), each
+    for one call or for several that lie in the same windows.
+    """
     windows = windows or WINDOWS
     sums = measures()
     long_only = [m for m in sums if m not in ("calls", "ok", "talk", "timed")]
@@ -109,16 +118,19 @@ def trailing_features(
         outputs[f"_timed_{w}"] = ("timed", w)
     # A missing phone is nobody's: such calls are not each other's history and get no features.
     known = calls.where("phone_number is not null")
+    latest = LAST_SUCCESS
+    if events is not None:
+        sums, latest = {m: m for m in sums}, "last_success"
     swept = trailing(
         known,
-        known,
+        known if events is None else events,
         keys,
         TS,
         TS,
         sums,
         windows,
         outputs,
-        latest={"last_success_dtime_call2": (f"if({SUCCESS}, {TS}, null)", "6m")},
+        latest={"last_success_dtime_call2": (latest, "6m")},
         since=since,
         hot=hot,
         hot_rows=hot_rows,

@@ -15,19 +15,52 @@ from callmart.functions.phone import counterparty, phone_key
 from callmart.operators.categories import collapse_legs
 from callmart.operators.dedupe import dedupe, latest_per
 from callmart.operators.joins import lookup
+from callmart.operators.reducers import bloom, may_match
 from callmart.operators.scans import scan_range
 from callmart.plans.schemas import CALL_LOG, SECOND_SOURCE_DEFAULTS
 from callmart.sources.tables import align_to
 
 HISTORY_DAYS = 365
 
+# An attempt's task.
+TASK_ID = "cast(try_cast(record_field_37 as int) as bigint)"
 
-def first_source(t: Mapping[str, DataFrame], ctx: RunContext, from_days: int = 1, to_days: int = 1) -> DataFrame:
+
+def narrowed(t: Mapping[str, DataFrame], facts: DataFrame) -> dict[str, DataFrame]:
+    """The lookup tables without rows that no call of ``facts`` can meet.
+
+    The days' call ids become a Bloom filter that the scans of attempts, sessions and actions test; the clients of the sessions and
+    the tasks of the attempts that pass become two more. A client's sessions stay together, as the
+    newest of them is chosen before it is joined.
+    """
+    text = lambda c: F.col(c).cast("string")
+    calls = bloom(facts.where("callid is not null"), text("callid"))
+    attempts = may_match(t["contact_attempt_fact"], text("callid"), calls)
+    met = may_match(t["session"], text("id_ses"), calls)
+    clients = bloom(met.select("cuid"), "cuid")
+    tasks = bloom(attempts.select(F.expr(TASK_ID).alias("task_id")).where("task_id is not null"), "task_id")
+    of_task = lambda name, key: may_match(t[name], F.col(key).cast("bigint"), tasks)
+    return {
+        **t,
+        "contact_attempt_fact": attempts,
+        "session": may_match(t["session"], "cuid", clients),
+        "session_action": may_match(t["session_action"], text("id_ses"), calls),
+        "taskcalendar": of_task("taskcalendar", "t_taskcalendar_id"),
+        "result": of_task("result", "t_taskcalendar_1"),
+        "eventhistory": of_task("eventhistory", "t_taskcalendar_1"),
+    }
+
+
+def first_source(
+    t: Mapping[str, DataFrame], ctx: RunContext, from_days: int = 1, to_days: int = 1, narrow: bool = False, hour_of: str = "end"
+) -> DataFrame:
     """Raw interactions of the given days with all their lookups.
 
+    ``narrow`` first drops lookup rows that the days' calls cannot meet; it is for a night, whose calls meet little of
+    the lookups, and changes no result. ``hour_of`` says whether the hour is that of the ``end`` or of the ``start`` of a call.
+
     Every lookup follows the row it belongs to: an interaction with two dialling attempts gives
-    two rows, each with its own result and campaign. The hour is that of the end of the call and
-    the weekday that of its start. An interaction without an attempt keeps missing values; one
+    two rows, each with its own result and campaign. The weekday is that of the start of the call. An interaction without an attempt keeps missing values; one
     without talk-time rows or with an unknown resource is not a call and is left out.
     """
     facts = scan_range(t["interaction_fact"], ctx, from_days, to_days).select(
@@ -40,6 +73,10 @@ def first_source(t: Mapping[str, DataFrame], ctx: RunContext, from_days: int = 1
         "source_address",
         "part_date",
     )
+    if hour_of not in ("start", "end"):
+        raise ValueError(f"hour_of is start or end, not {hour_of}")
+    if narrow:
+        t = narrowed(t, facts)
 
     # Talk time per interaction and day is summed before it meets the facts, so that a run over many days
     # gives what as many one-day runs give.
@@ -58,7 +95,7 @@ def first_source(t: Mapping[str, DataFrame], ctx: RunContext, from_days: int = 1
         "contact_info",
         F.col("call_result_key").cast("string").alias("call_result_key"),
         F.col("campaign_key").cast("string").alias("campaign_key"),
-        F.expr("try_cast(record_field_37 as int)").cast("bigint").alias("task_id"),
+        F.expr(TASK_ID).alias("task_id"),
     )
     # Attempts, sessions and actions share the call's id, and with it one shuffle of the calls. A
     # call without an id gets one that nothing else has.
@@ -93,7 +130,7 @@ def first_source(t: Mapping[str, DataFrame], ctx: RunContext, from_days: int = 1
     calls = lookup(calls, t["camp_task_result_type"], {"task_result": "id_source"}, ["code_camp_task_result_type"])
     calls = lookup(calls, t["action"], {"id_action": "id"}, ["name"])
 
-    hour = F.hour("dtime_call_end")
+    hour = F.hour(f"dtime_call_{hour_of}")
     number = counterparty(
         F.col("interaction_type") == "Outbound", F.col("contact_info"), F.col("target_address"), F.col("source_address")
     )
@@ -143,9 +180,10 @@ def second_source(
 
 
 def call_log(
-    tables: Mapping[str, DataFrame], contacts: DataFrame, ctx: RunContext, from_days: int = HISTORY_DAYS, to_days: int = 1
+    tables: Mapping[str, DataFrame], contacts: DataFrame, ctx: RunContext, from_days: int = HISTORY_DAYS, to_days: int = 1,
+    narrow: bool = False,
 ) -> DataFrame:
     """Both call sources in one table."""
-    return first_source(tables, ctx, from_days, to_days).unionByName(
+    return first_source(tables, ctx, from_days, to_days, narrow).unionByName(
         second_source(tables["second_calls"], contacts, ctx, from_days, to_days)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,8 @@ from callmart.fixed_values import DAILY_MODEL_FEATURES
 from callmart.functions.calendar import iso_weekday
 from callmart.functions.phone import clean_phone, valid_phone
 from callmart.operators.scoring import assemble, score, score_bands, score_segments, shape_output, stamp_run
-from callmart.sources.sinks import write_day
+from callmart.session import stage
+from callmart.sources.sinks import observed, write_day
 
 KEEP = ["phone_number", "cuid"]
 
@@ -41,6 +43,19 @@ def score_output(features: DataFrame, scorer: Any, ctx: RunContext) -> DataFrame
     return output_rows(score_bands(scored(features, scorer, ctx), tie=KEEP), ctx)
 
 
+def write_counted_scores(features: DataFrame, scorer: Any, ctx: RunContext, path: str) -> tuple[int, int]:
+    """As ``write_scores``, and return how many rows were read and written, counted in the jobs that did it.
+
+    The features are read once, and scored once, into the three columns that are ranked.
+    """
+    rows = F.count(F.lit(1))
+    read, source = observed(features, rows=rows)
+    ranked = score_bands(stage(scored(read, scorer, ctx), "scored"), tie=KEEP)
+    made, target = observed(output_rows(ranked, ctx), rows=rows)
+    write_day(made, path, ctx.day_key())
+    return source.get["rows"], target.get["rows"]
+
+
 def write_scores(features: DataFrame, scorer: Any, ctx: RunContext, path: str) -> None:
     """Score and replace today's partition of the score table."""
     write_day(score_output(features, scorer, ctx), path, ctx.day_key())
@@ -52,3 +67,28 @@ def segment_output(
     """Monthly scores: each segment with its own model and its own ten bands."""
     rows = valid_phone(features.withColumn("phone_number", clean_phone("phone_number")))
     return score_bands(score_segments(rows, segments, KEEP), tie=tie, segment=["segment"])
+
+
+def monthly_output(
+    features: DataFrame, segments: Mapping[str, tuple[Column, Any, list[str]]], ctx: RunContext
+) -> DataFrame:
+    """The seven columns of a score row for each segment and its rows, in a ``segment`` of their own.
+
+    Gaps in a segment's features become 0 and a missing client -1 before it is scored, as in the daily run.
+    """
+    names = list(dict.fromkeys(f for _, _, own in segments.values() for f in own if f in features.columns))
+    filled = features.na.fill(0, [n for n in names if n not in KEEP]).na.fill(-1, ["cuid"])
+    if "weekday" not in filled.columns:
+        filled = filled.withColumn("weekday", iso_weekday(ctx.now))
+    banded = stage(segment_output(filled, segments), "banded")
+    parts = [output_rows(banded.where(F.col("segment") == name), ctx).withColumn("segment", F.lit(name)) for name in segments]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_monthly(
+    features: DataFrame, segments: Mapping[str, tuple[Column, Any, list[str]]], ctx: RunContext, path: str
+) -> None:
+    """Score all segments, and replace today's partition of each segment's own table, ``<path>/<segment>``."""
+    rows = stage(monthly_output(features, segments, ctx), "monthly")
+    for name in segments:
+        write_day(rows.where(F.col("segment") == name).drop("segment"), f"{path.rstrip('/')}/{name}", ctx.day_key())

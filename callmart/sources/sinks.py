@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # States of a run.
@@ -49,9 +49,17 @@ def rebuild(
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
     pack: bool = False,
+    cluster: bool = False,
 ) -> None:
-    """Replace a whole table, optionally partitioned, with rows sorted inside each file."""
-    if pack and partition_by:
+    """Replace a whole table, optionally partitioned, with rows sorted inside each file.
+
+    With ``cluster`` the rows are dealt by ranges of the sort columns first: files hold ranges that do not overlap within
+    a partition, so the statistics of a file rule out most keys. A range of one frequent key is cut
+    by the sort columns behind it.
+    """
+    if cluster and sort_by:
+        df = df.repartitionByRange(*(partition_by or []), *sort_by)
+    elif pack and partition_by:
         df = _packed(df, partition_by)
     if sort_by:
         # Spark sorts by the partition columns for the writer; put them first to sort once.
@@ -62,6 +70,31 @@ def rebuild(
     writer.parquet(path)
 
 
+def rebuild_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """Replace a catalogued table in ``buckets`` of its keys, sorted by them: two such tables join without a shuffle.
+
+    Each bucket is one file. A key that holds a large part of the rows makes its bucket as large, so take keys that tell rows
+    apart, such as (phone, client).
+    """
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(table)
+    )
+
+
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with metrics that are taken while its rows go by, in the job that writes them.
+
+    The observation is filled by the first action on the frame. Observe below no range partitioning, whose sampling
+    reads its input once more and would count rows twice.
+    """
+    found = Observation()
+    return df.observe(found, *[m.alias(name) for name, m in metrics.items()]), found
+
+
 def publish_view(df: DataFrame, name: str, comments: Mapping[str, str]) -> DataFrame:
     """A view with a fixed column list and a comment on every column."""
     view = df.select(*[F.col(c).alias(c, metadata={"comment": text}) for c, text in comments.items()])
