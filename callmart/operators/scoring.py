@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from callmart.context import RunContext
 from callmart.fixed_values import SCORE_COLUMNS
+from callmart.operators import selection
 from callmart.operators.dedupe import top_per
 from callmart.operators.ordered import row_index
+from callmart.session import stage
 
 Predict = Callable[[pd.DataFrame], Any]
 
@@ -90,8 +92,15 @@ def score_bands(
 ) -> DataFrame:
     """Equal-size bands by descending score, band 1 on top; ties break by the tie columns.
 
-    Row r of n gets ``ceil(bands * r / n)``, in integer arithmetic.
+    Row r of n gets ``ceil(bands * r / n)``, in integer arithmetic. The rows that end the bands are found by counting ranges
+    over the rows, which are written once so that the score is worked out once; nothing is sorted or shuffled. Bands
+    inside segments, and rows whose ties are not unique, are ranked by a global sort.
     """
+    if tie and not segment:
+        df = stage(df, "ranked")
+        found = selection.bands(df, by, tie, bands, out)
+        if found is not None:
+            return found
     order = [F.col(by).desc(), *[F.col(c).asc() for c in tie or []]]
     indexed = row_index(df, order, segment)
     top = F.expr(f"({int(bands)}L * row_index + row_total - 1) div row_total")

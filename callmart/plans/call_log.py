@@ -17,6 +17,7 @@ from callmart.operators.dedupe import dedupe, latest_per
 from callmart.operators.joins import lookup
 from callmart.operators.reducers import bloom, may_match
 from callmart.operators.scans import scan_range
+from callmart.operators.skew import SALT, heavy_keys, salted, spread
 from callmart.plans.schemas import CALL_LOG, SECOND_SOURCE_DEFAULTS
 from callmart.sources.tables import align_to
 
@@ -100,14 +101,18 @@ def first_source(
     # Attempts, sessions and actions share the call's id, and with it one shuffle of the calls. A
     # call without an id gets one that nothing else has.
     calls = calls.withColumn("call_key", F.coalesce("callid", F.concat(F.lit("\0"), "interaction_id")))
-    calls = lookup(calls, attempts, {"call_key": "callid"}, in_place=True)
+    # An id that holds a large part of the calls is salted, so that its calls spread over tasks; for the others the salt is 0.
+    heavy = heavy_keys(facts, "callid")
+    calls = salted(calls, "call_key", heavy, F.col("interaction_id"))
+    key = {"call_key": "_key", SALT: SALT}
+    calls = lookup(calls, spread(attempts.withColumnRenamed("callid", "_key"), "_key", heavy), key, in_place=True)
     # The newest session of each client is chosen first; older sessions lose their client.
     sessions = latest_per(t["session"].select("id_ses", "cuid", "begin_session"), ["cuid"], "begin_session", "id_ses")
     actions = latest_per(
         t["session_action"].select("id_ses", "id_action", "begin_action"), ["id_ses"], "begin_action", "id_action"
     )
-    calls = lookup(calls, sessions, {"call_key": "id_ses"}, ["cuid"], in_place=True)
-    calls = lookup(calls, actions, {"call_key": "id_ses"}, ["id_action"], in_place=True)
+    calls = lookup(calls, spread(sessions.withColumnRenamed("id_ses", "_key"), "_key", heavy), key, ["cuid"], in_place=True)
+    calls = lookup(calls, spread(actions.withColumnRenamed("id_ses", "_key"), "_key", heavy), key, ["id_action"], in_place=True)
 
     # Results and comments belong to a task of the calendar and are gathered by its key, so the
     # calls move once for all three.

@@ -46,11 +46,11 @@ def score_output(features: DataFrame, scorer: Any, ctx: RunContext) -> DataFrame
 def write_counted_scores(features: DataFrame, scorer: Any, ctx: RunContext, path: str) -> tuple[int, int]:
     """As ``write_scores``, and return how many rows were read and written, counted in the jobs that did it.
 
-    The features are read once, and scored once, into the three columns that are ranked.
+    The features are read once, and scored once, into the three columns that are ranked (``score_bands`` writes them).
     """
     rows = F.count(F.lit(1))
     read, source = observed(features, rows=rows)
-    ranked = score_bands(stage(scored(read, scorer, ctx), "scored"), tie=KEEP)
+    ranked = score_bands(scored(read, scorer, ctx), tie=KEEP)
     made, target = observed(output_rows(ranked, ctx), rows=rows)
     write_day(made, path, ctx.day_key())
     return source.get["rows"], target.get["rows"]
