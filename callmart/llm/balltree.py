@@ -5,7 +5,8 @@ vectors, and no vector in it has a larger inner product with q than q·centre +
 through a shard in blocks; each query takes the leaves in the order of that bound and stops when the next bound is
 below its kth score so far. Before the shards are searched, each query looks at one shard in full; the kth score
 it finds there travels with it to all shards, so most of their nodes are cut off at once. Scores are
-whole numbers, and the bounds are rounded up, so results are exact.
+whole numbers, multiplied in doubles where these hold them, else in 64-bit integers, else, for very large components, in Python's
+integers; the bounds are rounded up, so results are exact.
 
 A block of queries is one row for a shard. A group holds one shard and a bounded number of blocks; where there are
 more blocks, the shard is copied to several groups, so memory is bounded whatever the number of queries.
@@ -13,6 +14,7 @@ more blocks, the shard is copied to several groups, so memory is bounded whateve
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,15 @@ LEAF_ROWS = 64
 BLOCKS_OF_GROUP = 64
 
 
+LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+
+
+def _below(scores: np.ndarray) -> np.ndarray:
+    """Doubles that are not over the scores."""
+    near = scores.astype(np.float64)
+    return np.where(np.abs(near) < 2.0**53, near, np.nextafter(near, -np.inf))
+
+
 class BallTree:
     """Vectors, in the order of their leaves; all leaves have one level, so nodes are rows of arrays."""
 
@@ -40,6 +51,7 @@ class BallTree:
             groups = [half for g in groups for half in self._halves(vectors, g)]
         order = np.concatenate(groups)
         self.vectors, self.ids = vectors[order], ids[order]
+        self.largest = np.abs(vectors).max()
         self.starts = np.cumsum([0, *map(len, groups)])
         # Balls from the leaves up: (centre, radius) of 1, 2, 4 ... nodes.
         self.levels = []
@@ -63,24 +75,40 @@ class BallTree:
 
     def bounds(self, queries: np.ndarray, floor: np.ndarray) -> np.ndarray:
         """The bound of each leaf for each query; -inf below a node that cannot reach the query's floor."""
-        length = np.sqrt((queries**2).sum(axis=1))[:, None]
         alive = np.ones((len(queries), 1), bool)
-        for centre, radius in self.levels:
-            if alive.shape[1] < len(centre):
-                alive = np.repeat(alive, 2, axis=1)
-            bound = (queries @ centre.T + length * radius) * (1 + 1e-12) + 1e-3
-            alive &= bound >= floor[:, None]
+        with np.errstate(over="ignore", invalid="ignore"):
+            length = np.sqrt((queries**2).sum(axis=1))[:, None]
+            for centre, radius in self.levels:
+                if alive.shape[1] < len(centre):
+                    alive = np.repeat(alive, 2, axis=1)
+                # Rounding is small beside the lengths, not beside their product, which may cancel.
+                slack = length * (np.sqrt((centre**2).sum(axis=1)) + radius) * 1e-12 + 1e-3
+                bound = queries @ centre.T + length * radius + slack
+                bound[np.isnan(bound)] = np.inf
+                alive &= bound >= floor[:, None]
         return np.where(alive, bound, -np.inf)
 
+    def scores(self, queries: np.ndarray, largest: float, a: int, b: int) -> np.ndarray:
+        """Exact products with the vectors from a to b; those beyond 64 bits as the nearest number of 64 bits."""
+        most = queries.shape[1] * largest * self.largest
+        vectors = self.vectors[a:b]
+        if most < 2.0**53:
+            return (queries @ vectors.T).astype(np.int64)
+        if most < 2.0**62:
+            return queries.astype(np.int64) @ vectors.astype(np.int64).T
+        whole = lambda x: np.array([[int(v) for v in row] for row in x], object)
+        return np.clip(whole(queries) @ whole(vectors).T, LEAST + 1, MOST).astype(np.int64)
+
     def search(self, queries: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int):
         """The k best (score, id) of each query but itself, and its kth score, at least ``floor``.
 
-        Query i is the vector with id own[i]. Rows beyond the vectors there are have id -1.
+        Query i is the vector with id own[i]. Places beyond the vectors there are have the score ``LEAST``.
         """
         n = len(queries)
-        best = np.full((n, k), -np.inf)
-        ids = np.full((n, k), np.iinfo(np.int64).max)
+        best = np.full((n, k), LEAST)
+        ids = np.full((n, k), MOST)
         floor = floor.copy()
+        largest = np.abs(queries).max()
         bound = self.bounds(queries, floor)
         order = np.argsort(-bound, axis=1, kind="stable")
         active = np.arange(n)
@@ -88,7 +116,7 @@ class BallTree:
             leaf = order[active, turn]
             reach = bound[active, leaf]
             # A vector that ties with the kth may have a smaller id, so equality goes on.
-            alive = (reach >= floor[active]) & np.isfinite(reach)
+            alive = (reach >= floor[active]) & (reach > -np.inf)
             active, leaf = active[alive], leaf[alive]
             if not active.size:
                 break
@@ -96,51 +124,51 @@ class BallTree:
             cuts = np.flatnonzero(np.diff(leaf[by_leaf])) + 1
             for part in np.split(by_leaf, cuts):
                 q, a, b = active[part], self.starts[leaf[part[0]]], self.starts[leaf[part[0]] + 1]
-                scores = queries[q] @ self.vectors[a:b].T
-                scores[self.ids[a:b] == own[q][:, None]] = -np.inf
+                scores = self.scores(queries[q], largest, a, b)
+                scores[self.ids[a:b] == own[q][:, None]] = LEAST
                 # Only queries that the leaf gives something in reach of their kth score are merged and sorted.
-                hit = scores.max(axis=1) >= floor[q]
+                top = scores.max(axis=1)
+                hit = (top > LEAST) & (top >= floor[q])
                 if not hit.any():
                     continue
                 q, scores = q[hit], scores[hit]
-                names = np.where(np.isfinite(scores), self.ids[a:b], np.iinfo(np.int64).max)
+                names = np.where(scores > LEAST, self.ids[a:b], MOST)
                 all_scores, all_names = np.hstack([best[q], scores]), np.hstack([ids[q], names])
-                top = np.lexsort((all_names, -all_scores), axis=1)[:, :k]
+                top = np.lexsort((all_names, ~all_scores), axis=1)[:, :k]
                 best[q], ids[q] = np.take_along_axis(all_scores, top, 1), np.take_along_axis(all_names, top, 1)
-                floor[q] = np.maximum(floor[q], best[q, -1])
+                full = best[q, -1] > LEAST
+                floor[q[full]] = np.maximum(floor[q[full]], _below(best[q[full], -1]))
         return best, ids, floor
 
 
 def _array(column: pd.Series, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.int32).reshape(-1, dims).astype(np.float64)
+    return np.frombuffer(b"".join(column), np.float64).reshape(-1, dims)
 
 
 def quantised(rows: DataFrame, key: str, vector: str, factor: int) -> DataFrame:
-    """id, v (packed 32-bit floor(factor * x)) and n, the number of components, of the vectors that take part.
+    """id, v (floor(factor * x) as packed doubles) and n, the number of components, of the vectors that take part.
 
-    Rows without id, without vector, with an empty one, or with a missing or non-finite component take no part.
+    Rows without id, without vector, with an empty one, or with a missing or non-finite component take no part; nor do those with
+    a component whose product with ``factor`` is beyond all doubles.
     """
+    limit = F.lit(sys.float_info.max / factor)
     whole = (
         F.col(key).isNotNull()
         & (F.size(vector) > 0)
-        & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+        & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) <= limit))
     )
-    floors = F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(factor))))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches):
-            packed = [np.array(x.as_py(), np.int64) for x in batch.column(1)]
-            if any(np.abs(x).max() > 2**24 for x in packed):
-                raise ValueError("a component is too large for exact products in doubles")
-            packed = [x.astype(np.int32) for x in packed]
+            # A product with a power of two is exact, and so is the floor of a double.
+            packed = [np.floor(np.array(x.as_py(), np.float64) * factor) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x.tobytes() for x in packed]), pa.array([len(x) for x in packed], pa.int32())],
                 ["id", "v", "n"],
             )
 
-    return rows.where(F.coalesce(whole, F.lit(False))).select(F.col(key).cast("long").alias("id"), floors.alias("v")).mapInArrow(
-        pack, "id long, v binary, n int"
-    )
+    doubles = F.transform(vector, lambda x: x.cast("double")).alias("v")
+    return rows.where(F.coalesce(whole, F.lit(False))).select(F.col(key).cast("long").alias("id"), doubles).mapInArrow(pack, "id long, v binary, n int")
 
 
 _FOUND = "query_id long, vec_id long, score long, floor double"
@@ -157,13 +185,13 @@ def _search(k: int):
             tree = BallTree(_array(shard["v"], dims), shard["id"].to_numpy())
             for row in blocks.itertuples():
                 own = np.frombuffer(row.ids, np.int64)
-                queries = np.frombuffer(row.v, np.int32).reshape(len(own), -1).astype(np.float64)
+                queries = np.frombuffer(row.v, np.float64).reshape(len(own), -1)
                 known = np.frombuffer(row.floors, np.float64)
                 best, ids, floor = tree.search(queries, own, known, k)
-                q, place = np.nonzero(np.isfinite(best) & (best >= known[:, None]))
+                q, place = np.nonzero((best > LEAST) & (best >= known[:, None]))
                 out.append(
                     pd.DataFrame(
-                        {"query_id": own[q], "vec_id": ids[q, place], "score": best[q, place].astype(np.int64), "floor": floor[q]}
+                        {"query_id": own[q], "vec_id": ids[q, place], "score": best[q, place], "floor": floor[q]}
                     )
                 )
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "floor": []})
@@ -213,16 +241,18 @@ def top_k(
 
     Components x become floor(factor * x). Ties go to the smaller id; a query with fewer than k others gets them
     all. Vectors are only compared with those of as many components. Rows whose vectors take no part are
-    left out; rows that repeat an id count once, with their smallest vector. Ids need not be unique among queries
-    and candidates: a query is never its own result.
+    left out. Rows that repeat an id are candidates each, so an id may come more than once in a query's results; a query's id
+    is one query, with the smallest vector of its rows, of which none is its result. A score beyond 64 bits is given as the
+    nearest number of 64 bits. An empty table gives no rows.
     """
     flagged = quantised(rows.where(is_query), key, vector, factor)
-    vectors = stage(quantised(rows, key, vector, factor).groupBy("id").agg(F.min(F.struct("v", "n")).alias("x")).select("id", "x.*"), "vectors")
-    queries = flagged.select("id").distinct().join(vectors, "id")
+    vectors = stage(quantised(rows, key, vector, factor), "vectors")
+    queries = flagged.groupBy("id").agg(F.min(F.struct("v", "n")).alias("x")).select("id", "x.*")
     queries = stage(queries.withColumn("floor", F.lit(float("-inf"))), "queries")
     n, n_queries = vectors.count(), queries.count()
     shards = max(1, -(-n // shard_rows))
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
+    # By the vector as well, so that rows of one id do not meet in one shard.
+    shard = F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int")
     dealt = vectors.withColumn("shard", shard)
     blocks = _blocks(queries, block_rows, n_queries)
 

@@ -1,5 +1,7 @@
 """Placement table and exact search against plain versions."""
 
+import math
+
 import numpy as np
 import pytest
 from cases import awkward, empty, table
@@ -92,3 +94,25 @@ def test_few_or_no_vectors(spark):
     assert balltree.top_k(one, "vec_id", "embedding", query).count() == 0
     two = spark.createDataFrame([(0, [1.0]), (3, [-2.0])], schema)
     assert [tuple(r) for r in balltree.top_k(two, "vec_id", "embedding", query).collect()] == [(0, 1, 3, -131072)]
+
+
+@pytest.mark.parametrize("large", [1e6, 3e9, 1e12, 1e30])
+def test_large_components_and_repeated_ids(spark, large):
+    """Products beyond the doubles' whole numbers, beyond 64 bits, and rows of one id."""
+    rnd = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in rnd.normal(0, 1, 4)]) for i in range(150)]
+    rows += [(200 + i, [large, 1.0 + i / 256, -large if i % 2 else large, i / 256]) for i in range(6)]
+    rows += [(250, [large, -large, 1.0, 2.0]), (1, [9.0, 9.0, 9.0, 9.0]), (1, [9.0, 9.0, 9.0, 9.0]), (50, rows[50][1]), (300, [float("inf"), 1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = balltree.top_k(df, "vec_id", "embedding", F.col("vec_id") % 50 == 0, shard_rows=60).collect()
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if all(map(math.isfinite, v))]
+    queries = {}
+    for i, v in whole:
+        if i % 50 == 0:
+            queries[i] = v
+    want = []
+    for q, v in queries.items():
+        exact = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in whole if i != q)
+        fit = sorted((-max(-(2**63) + 1, min(2**63 - 1, -s)), i) for s, i in exact)
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(fit[:5], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == sorted(want)
