@@ -209,3 +209,54 @@ def test_moderate_outliers_are_rejected(spark):
     odd = [found[i] for i, _, _, _, x in rows if x and not found[i].base_failed]
     assert len(odd) >= 40 and not any(r.kept for r in odd)
     assert sum(not found[i].kept for i, _, _, _, x in rows if not x) <= 8
+
+
+def odd_and_plain(rnd, n, source, first):
+    """Texts of one source, one in twelve with many symbols."""
+    rows = []
+    for i in range(n):
+        words = [rnd.choice("abcdefgh") * rnd.randint(2, 9) + str(rnd.randint(0, 99)) for _ in range(rnd.randint(80, 250))]
+        odd = i % 12 == 3
+        text = " ".join(w + "$#" if odd else w for w in words)
+        rows.append((first + i, text, "en" if source != "other" else None, source, odd))
+    return rows
+
+
+def test_every_group_has_an_estimate(spark):
+    """Groups of 30 to 199 rows by themselves, small ones together, a small rest by all rows, and a table of 171 rows."""
+    rnd = random.Random(21)
+    sizes = {"a": 30, "b": 90, "c": 199, "d": 15, "e": 25, "other": 12}
+    rows = [r for k, (s, n) in enumerate(sizes.items()) for r in odd_and_plain(rnd, n, s, 1000 * k)]
+    schema = "doc_id long, text string, lang string, source string, odd boolean"
+    for part in (rows, rows[:171], [r for r in rows if r[3] == "other"]):
+        found = {r.doc_id: r for r in outliers.judge(spark.createDataFrame(part, schema)).collect()}
+        assert not any(found[i].kept for i, *_, odd in part if odd)
+        assert sum(not found[i].kept for i, *_, odd in part if not odd) <= len(part) // 25
+        assert all(r.distance is not None for r in found.values())
+
+
+def test_distances_by_numpy(spark):
+    """The distance of each row from its group's estimate, over the group's median distance."""
+    rnd = random.Random(22)
+    rows = odd_and_plain(rnd, 120, "a", 0) + odd_and_plain(rnd, 60, "b", 500)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, odd boolean")
+    found = {r.doc_id: r for r in outliers.judge(docs).collect()}
+    stats = outliers._features(outliers.statistics(docs)).collect()
+    assert not any(r.base_failed for r in found.values())
+    for source in "ab":
+        own = [r for r in stats if r.source == source]
+        x = np.array([[r[f] for f in outliers.FEATURES] for r in own])
+        points = spark.createDataFrame([(r.doc_id, "own/=en/=" + source, *map(float, v)) for r, v in zip(own, x, strict=True)],
+            "doc_id long, grp string, " + ", ".join(f"{f} double" for f in outliers.FEATURES))
+        e = outliers.covariance_estimates(points).first()
+        centre = np.array([e[f"m{i}"] for i in range(5)])
+        root = np.array([[e[f"l{i}{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
+        distance = np.sqrt((np.linalg.solve(root, (x - centre).T) ** 2).sum(axis=0))
+        # The estimate is the moments of about half of the rows, those nearest to it or nearly so.
+        near = np.argsort(distance)[: len(x) // 2]
+        cov = np.cov(x[near].T, bias=True) + outliers.FLOOR * np.eye(5)
+        assert abs(np.linalg.slogdet(cov)[1] - np.linalg.slogdet(root @ root.T)[1]) < 1.0
+        scale = max(1.0, np.median(distance) / 2.086) * (1 + outliers.FEW / len(x))
+        got = np.array([found[r.doc_id].distance for r in own])
+        assert np.allclose(got, distance / scale, rtol=0.06)
+        assert [found[r.doc_id].kept for r in own] == (got <= outliers.CUT).tolist()
