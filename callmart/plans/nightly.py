@@ -74,8 +74,8 @@ def score_night(
 ) -> None:
     """Score the stored features into today's partition, between two rows of the run log.
 
-    Source and target rows are counted by the jobs that read and write them; the newest source date is that of
-    the stored calls of a year.
+    Source and target rows are counted by the footers of the stored tables; the newest source date is that of the
+    stored calls of a year.
     """
 
     def work():

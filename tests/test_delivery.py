@@ -1,4 +1,4 @@
-"""Slices loaded once each, days published whole, tables laid out by key, and counts taken while writing."""
+"""Slices loaded once each, days published whole, tables laid out by key, and counts of what was written."""
 
 from datetime import datetime
 
@@ -156,7 +156,7 @@ def daily(spark):
     return rows
 
 
-def test_counts_come_with_the_write(spark, daily, tmp_path):
+def test_counts_of_the_stored_tables(spark, daily, tmp_path):
     ctx = RunContext(datetime(2024, 1, 31))
     read, written = write_counted_scores(daily, logistic({"weekday": 0.1}), ctx, str(tmp_path / "s"))
     stored = spark.read.parquet(str(tmp_path / "s"))
