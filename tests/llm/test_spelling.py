@@ -70,6 +70,7 @@ def cases():
             # A variant of a variant, for chains.
             k = rnd.randrange(len(edited))
             texts += [edited[:k] + edited[k + 1 :]] * rnd.choice([1, 2, 4])
+    texts += ["chainword"] * 700 + ["chainwor"] * 50 + ["chainwo"] * 4
     rnd.shuffle(texts)
     rows += [(5000 + i, " ".join(texts[i : i + 25])) for i in range(0, len(texts), 25)]
     # Equal counts, a repeated letter, and very long words.
