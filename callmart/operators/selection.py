@@ -52,19 +52,24 @@ def _counts(df: DataFrame, keys: list[Row]) -> list[int]:
     return list(found)
 
 
-def at_ranks(df: DataFrame, key: Column, ranks: Sequence[int], sample: int = SAMPLE) -> dict[int, Row] | None:
-    """The keys of the rows of the given ranks (from 1) in the order of ``key``, or None if several rows have such a key.
+def at_ranks(
+    df: DataFrame, key: Column, ranks: Sequence[int], sample: int = SAMPLE, total: int | None = None
+) -> dict[int, Row] | None:
+    """The keys of the rows of the given ranks (from 1) in the order of ``key``, or None if a row behind one has its key too.
 
-    ``df`` is read several times, so it should be a table.
+    ``df`` is read several times, so it should be a table; ``total`` is its number of rows, if known.
     """
     keyed = df.select(key.alias(_KEY))
     found: dict[int, Row] = {}
     # Ranks that lie among the same rows are looked for together: (rows, how many lie before them, their number, ranks).
-    waiting = [(keyed, 0, keyed.count(), sorted({*ranks}))]
+    waiting = [(keyed, 0, keyed.count() if total is None else total, sorted({*ranks}))]
     while waiting:
         rows, before, total, wanted = waiting.pop()
         if total <= sample:
-            listed = _sample_all(rows)
+            listed = [r[0] for r in rows.orderBy(_KEY).collect()]
+            # Rows of one key are never parted, so the next row is in the list as well.
+            if any(listed[r - before - 1] in listed[r - before : r - before + 1] for r in wanted):
+                return None
             found.update({r: listed[r - before - 1] for r in wanted})
             continue
         keys = _sample(rows, sample)
@@ -91,17 +96,9 @@ def at_ranks(df: DataFrame, key: Column, ranks: Sequence[int], sample: int = SAM
             if size == total:
                 return None  # most rows have one key
             waiting.append((part, counts[i], size, inside))
-    numbers = sorted(found)
-    # A rank is its key's alone if as many rows lie at or before it.
-    if numbers and _counts(keyed, [found[r] for r in numbers]) != numbers:
-        return None
     return found
 
 
-def _sample_all(rows: DataFrame) -> list[Row]:
-    return [r[0] for r in rows.orderBy(_KEY).collect()]
-
-
 def bands(df: DataFrame, by: str, ties: Sequence[str], count: int, out: str, sample: int = SAMPLE) -> DataFrame | None:
     """``df``, a table, with its rows' bands of equal size by descending ``by``; None if its order is not unique at a band's end.
 
@@ -110,7 +107,7 @@ def bands(df: DataFrame, by: str, ties: Sequence[str], count: int, out: str, sam
     key = ascending(df, by, ties)
     total = df.count()
     ends = [b * total // count for b in range(1, count)]
-    found = at_ranks(df, key, [e for e in ends if e], sample)
+    found = at_ranks(df, key, [e for e in ends if e], sample, total)
     if found is None:
         return None
     keyed = df.withColumn(_KEY, key)
