@@ -280,8 +280,15 @@ def replace_private(docs: DataFrame, key: str, rounds: int = ROUNDS) -> DataFram
 
     Missing texts stay missing and empty ones empty; texts without entities are not touched. Rows without doc_id and
     repeated rows are rewritten like others. n_chars, where it is a column, is counted again for changed
-    texts. A column of the name n_entities is replaced.
+    texts. A column of the name n_entities is replaced; other columns may have any names.
     """
+    own = {"_text_key", "_of", "_new"}
+    clashing = [c for c in docs.columns if c.lower() in own]
+    if clashing:
+        # Columns with names that are used below travel under longer ones.
+        away = {c: c + "_" * max(map(len, docs.columns)) for c in clashing}
+        done = replace_private(docs.withColumnsRenamed(away), key, rounds)
+        return done.withColumnsRenamed({new: old for old, new in away.items()})
     names = [c for c in docs.columns if c.lower() != "n_entities"]
     spans = docs.schema["text"].name
     text = F.col(spans)
