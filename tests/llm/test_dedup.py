@@ -118,6 +118,43 @@ def test_long_repeats(spark, hot, width):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in found) == plain_repeats(rows, width)
 
 
+def test_suffix_tree():
+    """Smallest documents of the nodes at the cut against a table of whole windows, and what the tree looks like."""
+    rnd = random.Random(3)
+    tree, seen = substrings.SuffixTree(6), {}
+    for doc in range(60):
+        words = [rnd.choice([b"a", b"b", b"c"]) for _ in range(rnd.randint(0, 40))]
+        want = []
+        for i in range(len(words) - 5):
+            window = tuple(words[i : i + 6])
+            want.append(seen.setdefault(window, doc) < doc)
+        assert tree.insert(words, doc) == want
+
+    def leaves(node, path):
+        for word, (label, first, last, below) in node.items():
+            assert label[first] == word
+            whole = (*path, *label[first:last])
+            if len(whole) == 6:
+                yield whole, below
+            else:
+                assert len(below) > 1
+                yield from leaves(below, whole)
+
+    assert dict(leaves(tree.root, ())) == seen
+
+
+@pytest.mark.parametrize("size", [1, 40])
+def test_groups_by_size(spark, size):
+    """Groups over the bound are settled by minima, with two texts under the smallest id and passages in many places."""
+    rnd = random.Random(9)
+    common, twin = prose(rnd, 70), prose(rnd, 60)
+    rows = [(i, f"{prose(rnd, i % 7)} {common} {prose(rnd, 3)} {common if i % 3 else twin}".strip()) for i in range(5, 40)]
+    rows += [(5, common), (5, twin + " " + common), (3, twin), (None, common)]
+    docs = table(spark, rows).repartition(7)
+    found = substrings.remove_repeats(docs, group_suffixes=size).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in found) == plain_repeats(rows, 50)
+
+
 def test_repeats_inside_periods(spark):
     """Words that come again and again, so that anchors tie."""
     rnd = random.Random(7)
