@@ -59,10 +59,14 @@ def message_counts(
 
 
 def vehicles(moments: DataFrame, records: DataFrame) -> DataFrame:
-    """Whether the client's newest registered vehicle was there at the call, and for how many days."""
+    """Whether the client's newest registered vehicle was there at the call, and for how many days.
+
+    Only records of the clients of the moments are ranked.
+    """
     cars = exclude_like(records.where("cuid is not null"), "automodel", TRAILER_PATTERNS).select(
         "cuid", epoch_ms_to_ts("req_ts").alias("dtime_request_car"), "tie"
     )
+    cars = restrict_to(cars, moments, {"cuid": "id_cuid"})
     out = latest_if_before(moments, cars, {"id_cuid": "cuid"}, TS, "dtime_request_car", "tie", ["dtime_request_car"])
     return out.withColumns(
         {
@@ -87,9 +91,13 @@ def product_counts(moments: DataFrame, cases: DataFrame, products: DataFrame, ho
     )
 
 
-def device_flags(moments: DataFrame, devices: DataFrame) -> DataFrame:
-    """Maker, operator and time zone of the client's first device record, once it existed."""
-    first = first_per(devices.where("inserted_date is not null"), ["cuid"], "inserted_date", "tie")
+def device_flags(moments: DataFrame, devices: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """Maker, operator and time zone of the client's first device record, once it existed.
+
+    Only records of clients in ``asked`` are ranked: the moments, unless a caller has them in a shorter form.
+    """
+    known = restrict_to(devices.where("inserted_date is not null"), moments if asked is None else asked, {"cuid": "id_cuid"})
+    first = first_per(known, ["cuid"], "inserted_date", "tie")
     first = first.select(
         "cuid",
         "inserted_date",
@@ -102,9 +110,9 @@ def device_flags(moments: DataFrame, devices: DataFrame) -> DataFrame:
         outside_set_flag("timezoneid", HOME_TIME_ZONES).alias("flag_diff_time_zone"),
     )
     flags = [c for c in first.columns if c not in ("cuid", "inserted_date")]
-    known = F.col("inserted_date") < F.col(TS)
+    there = F.col("inserted_date") < F.col(TS)
     out = lookup(moments, first, {"id_cuid": "cuid"})
-    return out.select(*moments.columns, *[F.when(known, F.col(c)).alias(c) for c in flags])
+    return out.select(*moments.columns, *[F.when(there, F.col(c)).alias(c) for c in flags])
 
 
 def newest_alerts(headers: DataFrame, params: DataFrame, ctx: RunContext) -> DataFrame:
@@ -178,7 +186,7 @@ def engagement(
     by_product = product_counts(moments, t["credit_case"], t["product"], hot_rows)
 
     out = vehicles(moments, t["vehicle"])
-    out = device_flags(out, t["device"])
+    out = device_flags(out, t["device"], moments)
     out = alert_flags(out, newest_alerts(t["alert"], t["alert_param"], ctx), alert_span)
     out = lookup(out, by_push, ["id_cuid", TS])
     out = lookup(out, by_text, ["phone_number", TS])
