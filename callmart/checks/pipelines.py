@@ -554,22 +554,22 @@ def monthly_scores(spark, folder):
     *RANK,
 )
 def export_ledger(spark, folder):
-    """Slices loaded by a first call that fails at its second slice and by one that goes on: each once."""
+    """Slices loaded by a first call that fails at its second load and by one that goes on: each once."""
     order = [F.col("score").desc(), F.col("phone_number").asc(), F.col("cuid").asc()]
     rows, ledger, target = stage(scored(spark, folder), "scored"), new_path(spark, "ledger"), new_path(spark, "target")
-    load, calls = delivery.to_folder(target), []
+    load, calls = delivery.to_folders(target), []
 
-    def failing(part, chunk_no):
-        calls.append(chunk_no)
+    def failing(part, numbers):
+        calls.append(numbers)
         if len(calls) == 2:
             raise ConnectionError("lost")
-        load(part, chunk_no)
+        load(part, numbers)
 
     try:
-        delivery.deliver(rows, order, 500, PAIR, failing, ledger, "scores")
+        delivery.deliver_together(rows, order, 500, PAIR, failing, ledger, "scores")
     except ConnectionError:
         pass
-    delivery.deliver(rows, order, 500, PAIR, failing, ledger, "scores")
+    delivery.deliver_together(rows, order, 500, PAIR, failing, ledger, "scores")
     there = delivery.slice_plan(spark.read.parquet(target), PAIR).withColumnRenamed("chunk_no", "_chunk")
     loads = delivery.read_ledger(spark, ledger).groupBy("chunk_no", "rows", "key_hash").agg(F.count(F.lit(1)).cast("int").alias("loads"))
     same = (F.col("_chunk") == F.col("chunk_no")) & (there["rows"] == loads["rows"]) & (there["key_hash"] == loads["key_hash"])

@@ -10,13 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from callmart.operators.ordered import row_index
-from callmart.session import new_path
+from callmart.session import new_path, stage
+from callmart.sources.sinks import refresh_partitions
 
 LEDGER_SCHEMA = "export string, chunk_no bigint, rows bigint, key_hash bigint, loaded_at timestamp_ntz"
 
 #: Loads one slice: its rows and its number. It must replace what an earlier, broken load of the slice has left.
 Load = Callable[[DataFrame, int], None]
 
+#: Loads several slices at once: their rows with ``chunk_no``, and their numbers. Replaces what it finds of any of them.
+LoadMany = Callable[[DataFrame, list[int]], None]
+
+#: Most slices that are loaded at once.
+MOST_SLICES = 1_024
+
 
 def key_hash(*keys: str) -> Column:
     """A number that a slice's keys make in any order: 60 bits of their digests, XORed."""
@@ -24,9 +31,13 @@ def key_hash(*keys: str) -> Column:
     return F.bit_xor(F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint"))
 
 
+def _numbered(df: DataFrame, order: list[Column], size: int) -> DataFrame:
+    return row_index(df, order).withColumn("chunk_no", F.expr(f"(row_index - 1) div {int(size)}")).drop("row_index", "row_total")
+
+
 def sliced(df: DataFrame, order: list[Column], size: int) -> DataFrame:
     """``df`` with ``chunk_no``, written out by it, so that a slice is read without the others."""
-    rows = row_index(df, order).withColumn("chunk_no", F.expr(f"(row_index - 1) div {int(size)}")).drop("row_index", "row_total")
+    rows = _numbered(df, order, size)
     path = new_path(df.sparkSession, "slices")
     rows.write.partitionBy("chunk_no").parquet(path)
     return df.sparkSession.read.schema(rows.schema).parquet(path)
@@ -65,15 +76,47 @@ def deliver(
     """
     spark = df.sparkSession
     slices = sliced(df, order, size)
-    todo = missing_slices(slice_plan(slices, keys), read_ledger(spark, ledger_path), export)
-    todo = sorted(tuple(r) for r in todo.select("chunk_no", "rows", "key_hash").collect())
-    for chunk_no, rows, hashed in todo:
-        load(slices.where(F.col("chunk_no") == chunk_no).drop("chunk_no"), chunk_no)
-        entry = [(export, chunk_no, rows, hashed, clock())]
-        spark.createDataFrame(entry, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(ledger_path)
+    todo = _todo(slices, keys, ledger_path, export)
+    for one in todo:
+        load(slices.where(F.col("chunk_no") == one[0]).drop("chunk_no"), one[0])
+        _enter(spark, ledger_path, export, [one], clock)
     return len(todo)
 
 
+def deliver_together(
+    df: DataFrame, order: list[Column], size: int, keys: list[str], load: LoadMany, ledger_path: str, export: str,
+    clock: Callable[[], datetime] = datetime.now, most: int = MOST_SLICES,
+) -> int:
+    """``deliver`` for many small slices: several are loaded by one job, first one, then twice as many each time up to ``most``.
+
+    A target that fails at once has cost one slice of work, and the number of jobs grows with a ``most``-th of the slices. The slices of a load are
+    entered in the ledger together once it has returned; after a failure the same call goes on with the load that failed.
+    """
+    spark = df.sparkSession
+    # In order, so a load's filter leaves out all files but those of its own range.
+    slices = stage(_numbered(df, order, size), "slices")
+    todo = _todo(slices, keys, ledger_path, export)
+    begin, at_once = 0, 1
+    while begin < len(todo):
+        batch = todo[begin : begin + at_once]
+        numbers = [chunk_no for chunk_no, _, _ in batch]
+        load(slices.where(F.col("chunk_no").isin(numbers)), numbers)
+        _enter(spark, ledger_path, export, batch, clock)
+        begin, at_once = begin + len(batch), min(2 * at_once, most)
+    return len(todo)
+
+
+def _todo(slices: DataFrame, keys: list[str], ledger_path: str, export: str) -> list[tuple[int, int, int]]:
+    """(chunk_no, rows, key_hash) of the slices that are not loaded yet, in order."""
+    todo = missing_slices(slice_plan(slices, keys), read_ledger(slices.sparkSession, ledger_path), export)
+    return sorted(tuple(r) for r in todo.select("chunk_no", "rows", "key_hash").collect())
+
+
+def _enter(spark: SparkSession, path: str, export: str, done: list[tuple[int, int, int]], clock: Callable[[], datetime]) -> None:
+    entries = [(export, *one, clock()) for one in done]
+    spark.createDataFrame(entries, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
 def to_folder(path: str) -> Load:
     """Loads a slice into a folder of its own below ``path``."""
 
@@ -81,3 +124,8 @@ def to_folder(path: str) -> Load:
         rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/chunk_no={chunk_no}")
 
     return load
+
+
+def to_folders(path: str) -> LoadMany:
+    """Loads slices into folders of their own below ``path``, in one job."""
+    return lambda rows, _: refresh_partitions(rows, path, "chunk_no")

@@ -60,6 +60,34 @@ def test_changed_slices_are_loaded_again(spark, tmp_path, order):
     assert delivery.deliver(rows.limit(0), order, 30, ["k"], load, ledger, "x") == 0
 
 
+def test_small_slices_are_loaded_together(spark, tmp_path, order):
+    """100 slices take a few loads; a load that fails half way is repeated whole, and nothing doubles."""
+    rows = spark.range(0, 1000, 1, 5).selectExpr("id as k", "pmod(hash(id), 50) as score")
+    ledger, target, seen = str(tmp_path / "ledger"), str(tmp_path / "target"), []
+    inner = delivery.to_folders(target)
+
+    def load(part, numbers):
+        seen.append(numbers)
+        assert {r[0] for r in part.select("chunk_no").distinct().collect()} == set(numbers)
+        if len(seen) == 3:
+            inner(part.limit(13), numbers)
+            raise ConnectionError("lost")
+        inner(part, numbers)
+
+    with pytest.raises(ConnectionError):
+        delivery.deliver_together(rows, order, 10, ["k"], load, ledger, "x", most=32)
+    assert seen == [[0], [1, 2], [3, 4, 5, 6]]
+    assert delivery.deliver_together(rows.repartition(3), order, 10, ["k"], load, ledger, "x", most=32) == 97
+    assert [len(n) for n in seen[3:]] == [1, 2, 4, 8, 16, 32, 32, 2] and sum(seen[3:], []) == list(range(3, 100))
+    there = spark.read.parquet(target)
+    assert sorted(r["k"] for r in there.collect()) == list(range(1000))
+    loaded = delivery.read_ledger(spark, ledger).select("chunk_no", "rows", "key_hash")
+    assert sorted(map(tuple, loaded.collect())) == sorted(map(tuple, delivery.slice_plan(there, ["k"]).collect()))
+    assert delivery.deliver_together(rows, order, 10, ["k"], load, ledger, "x") == 0
+    # Entries of both ways of delivery are the same.
+    assert delivery.deliver(rows, order, 10, ["k"], lambda *_: None, ledger, "x") == 0
+
+
 def published_rows(spark, path):
     return sorted((r["part_date"], r["v"]) for r in published.read_published(spark, path).collect())
 
