@@ -30,6 +30,15 @@ CUTS = 3
 CHUNK = 1 << 16
 
 
+def majority(hashes: np.ndarray) -> int:
+    """Bit i is 1 if it is set in over half of the hashes; 0 without any."""
+    n, ones = len(hashes), np.zeros(64, np.int64)
+    for i in range(0, n, CHUNK):
+        bits = np.unpackbits(hashes[i : i + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+
+
 def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
     """Bit i is 1 if it is set in over half the hashes of the shingles; 0 for a text without words."""
     found = text.lower().split()  # of bytes: only A-Z change, only blanks and controls 9 to 13 separate
@@ -44,11 +53,7 @@ def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
     hashes = np.fromiter(
         (digest(joined[a:b], seed) for a, b in zip(begins[:n].tolist(), lasts.tolist(), strict=True)), np.uint64, n
     )
-    ones = np.zeros(64, np.int64)
-    for i in range(0, n, CHUNK):
-        bits = np.unpackbits(hashes[i : i + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+    return majority(hashes)
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
@@ -84,12 +89,16 @@ class BKTree:
 
     def near(self, radius: int) -> Iterator[tuple[int, np.ndarray]]:
         """For each node, the places of the values within the radius, all values searched for at once."""
-        waiting = [(self.root, np.arange(len(self.values)))]
+        return ((pivot, found) for pivot, found in self.search(self.values, radius) if found.size > 1)
+
+    def search(self, asked: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
+        """For each node, the places in ``asked`` of what lies within the radius, all searched for at once."""
+        waiting = [(self.root, np.arange(len(asked)))]
         while waiting:
             (pivot, children), searched = waiting.pop()
-            distance = np.bitwise_count(self.values[searched] ^ self.values[pivot]).astype(np.int64)
+            distance = np.bitwise_count(asked[searched] ^ self.values[pivot]).astype(np.int64)
             found = searched[distance <= radius]
-            if found.size > 1:
+            if found.size:
                 yield pivot, found
             for edge, child in children:
                 follow = searched[np.abs(distance - edge) <= radius]

@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, 0.8 or more of their 5-word shingles in common, the document with the smallest id."""
+    """Of each group of near copies the document with the smallest id: found by BK-trees over SimHash fingerprints, 0.8 or more of their 5-word shingles in common."""
     return nearcopies.keep_first(docs)
 
 

@@ -3,9 +3,11 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from cases import WORD, awkward, empty, prose, table
 
 from callmart.llm import nearcopies
+from callmart.llm.simhash import BKTree
 
 
 def plain_shingles(text):
@@ -69,3 +71,32 @@ def test_chains_and_a_large_group(spark):
     rows += [(500 + i, edited(rnd, base, 3)) for i in range(150)]
     found = sorted(str(r.doc_id) for r in nearcopies.keep_first(table(spark, rows)).collect())
     assert found == plain_kept(rows)
+
+
+def test_tree_finds_what_lies_within_the_radius():
+    rnd = np.random.default_rng(1)
+    held = np.unique(rnd.integers(0, 2**63, 300, dtype=np.uint64))
+    flips = (np.uint64(1) << rnd.integers(0, 64, (400, 20), dtype=np.uint64)) * (np.arange(20) < rnd.integers(0, 20, (400, 1)))
+    asked = rnd.choice(held, 400) ^ np.bitwise_xor.reduce(flips.astype(np.uint64), axis=1)
+    for radius in (0, 4, 24):
+        found = {(p, a) for p, places in BKTree(held).search(asked, radius) for a in places.tolist()}
+        near = np.bitwise_count(held[:, None] ^ asked[None, :]) <= radius
+        assert found == set(zip(*map(np.ndarray.tolist, np.nonzero(near)), strict=True))
+
+
+def test_links_come_from_the_trees(spark):
+    """The same texts, whole or in parts of a few, with trees that find the near ones and with trees that find equal fingerprints only."""
+    rnd = random.Random(5)
+    head, rows = " ".join(f"h{i}" for i in range(200)), []
+    for group in range(12):
+        base = head + " " + " ".join(f"g{group}x{i}" for i in range(60 + group))
+        rows += [(100 * group + i, edited(rnd, base, 4 + i % 2)) for i in range(8)]
+    docs = table(spark, rows)
+    kept = plain_kept(rows)
+    assert 0 < len(kept) < len(rows)
+    for sizes in ({}, {"part_texts": 3}, {"part_shingles": 700}):
+        found = nearcopies.near_copies(docs, **sizes).collect()
+        assert sorted(str(r.doc_id) for r in found if r.doc_id == r.component_id) == kept
+    marked = {r.doc_id: r.fp for r in nearcopies.sketches(docs, 5).collect()}
+    alone = nearcopies.near_copies(docs, radius=0).collect()
+    assert all(marked[r.doc_id] == marked[r.component_id] for r in alone) and sum(r.doc_id == r.component_id for r in alone) > len(kept)
