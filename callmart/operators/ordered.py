@@ -46,14 +46,16 @@ class Hot:
     rows: int
 
 
-def find_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Hot:
+def find_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, weight: str = "1") -> Hot:
     """All keys with more than ``hot_rows`` rows, from one count that combines inside each task.
 
+    A row stands for ``weight`` rows, a SQL expression: rows that were counted before need not be read again.
+
     However many there are, they stay a table: it is written out, and only their number of rows comes back. Operators
     count for themselves; a pipeline that uses one key several times counts once and passes it on.
     """
     n = "_hot_rows"
-    found = stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > hot_rows), "hot-keys")
+    found = stage(df.groupBy(*keys).agg(F.expr(f"sum({weight})").alias(n)).where(F.col(n) > hot_rows), "hot-keys")
     rows = found.agg(F.sum(n)).first()[0]
     return Hot(found.select(*keys), rows) if rows else Hot(None, 0)
 
@@ -117,14 +119,16 @@ def _pieced(df, keys, order, weight, hot, hot_rows, sums, maxes, lasts, prevs) -
 
 
 def paths(
-    df: DataFrame, keys: list[str], hot: Hot, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: list[str], hot: Hot, hot_rows: int = HOT_ROWS, gather: bool = False
 ) -> list[tuple[DataFrame, Callable[..., DataFrame]]]:
     """The rows of ordinary and of hot keys, each with the function that runs over them.
 
     That function takes (rows, order, sums=, maxes=, lasts=, prevs=, weight=) as ``running`` does.
     An operator with several passes takes each path to its end before uniting them, so that rows
-    stay partitioned between passes.
+    stay partitioned between passes. ``gather`` shuffles the rows of ordinary keys by key at once, for an operator that
+    groups them by key and more first.
     """
+    gathered = lambda rows: rows.repartition(*keys) if gather else rows
 
     def runner(how):
         def run(rows, order, *, sums=None, maxes=None, lasts=None, prevs=None, weight=1):
@@ -134,11 +138,11 @@ def paths(
         return run
 
     if hot.keys is None:
-        return [(df, runner(_plain))]
+        return [(gathered(df), runner(_plain))]
     listed = hot.keys.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
     on = same_keys(df, listed, {k: f"_h_{k}" for k in keys})
     return [
-        (df.join(listed, on, "left_anti"), runner(_plain)),
+        (gathered(df.join(listed, on, "left_anti")), runner(_plain)),
         (df.join(listed, on, "left_semi"), runner(_pieced)),
     ]
 

@@ -42,3 +42,9 @@ def may_match(df: DataFrame, column: str | Column, words: DataFrame, bits: int =
         inside = F.getbit(F.col(f"_set_{i}"), (at % _WORD_BITS).cast("int")) == 1
         df = df.join(part, (F.shiftright(at, 6) == F.col(f"_word_{i}")) & inside, "left_semi")
     return df
+
+
+def met_by(df: DataFrame, column: str, words: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``may_match`` for a filter of ``keys[key]``; keys of another type, which a join would convert, keep every row."""
+    same = df.schema[column].dataType == keys.schema[key].dataType
+    return may_match(df, column, words) if same else df

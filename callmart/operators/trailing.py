@@ -7,8 +7,9 @@ of all events up to it, and a window is the difference of its two ends. Work gro
 of events, not with its square, and ends may lie anywhere (a month back with its clamped day, the
 last midnight).
 
-Events of one key at one instant are summed before the shuffle, so copies cost one row, and the
-running sums split hot keys (``ordered.running``).
+Rows of ordinary keys are shuffled once, narrow and as they are: the events of one instant are summed, and probes
+become window ends, where the key's rows then lie. Rows of hot keys are summed by instant before they move, and their
+running sums are split (``ordered.running``).
 """
 
 from __future__ import annotations
@@ -102,13 +103,10 @@ def trailing(
         oldest = ", ".join(f"date_trunc('DAY', {since} - interval {b})" for b in sorted({*backs}))
         oldest = f"least({oldest}, {since})" if len({*backs}) > 1 else oldest
         kept_events = kept_events.where(f"{event_ts} >= cast({oldest} as timestamp_ntz)")
-    instants = (
-        kept_events
-        .groupBy(*keys, F.col(event_ts).alias("_t"))
-        .agg(
-            *[F.expr(f"sum({e}) as _s_{name}") for name, e in sums.items()],
-            *[F.expr(f"max({e}) as {top}") for top, e in tops.items()],
-        )
+    line = kept_events.selectExpr(
+        *keys, f"{event_ts} as _t", f"{_EVENT} as _side",
+        *[f"{e} as _s_{name}" for name, e in sums.items()],
+        *[f"{e} as {top}" for top, e in tops.items()],
     )
     # Rows of a key before copies are summed bound its rows after; each asks for all window ends.
     own = probes is events and probe_ts == event_ts
@@ -127,7 +125,7 @@ def trailing(
         neither the shuffle nor the sums see more rows than there are instants. An event row is its
         own UPTO end.
         """
-        summed = run(rows, ["_t"], **totals)
+        summed = run(instants(rows), ["_t"], **totals)
         total = ", ".join(f"'{name}', {name}" for part in totals.values() for name in part)
         itself = f"named_struct('_t', _t, '_side', {_EVENT}, '_end', {{}})"
         marks = [itself.format(ends.get(UPTO, "cast(null as int)"))]
@@ -145,18 +143,25 @@ def trailing(
         )
 
     def sweep(rows: DataFrame, run) -> DataFrame:
-        return run(rows, order, weight=weight, **totals)
+        """Probes become their window ends where the key's rows already are."""
+        marks = ", ".join(_mark(i, name, "_t") for name, i in ends.items())
+        itself = f"named_struct('_t', _t, '_side', {_EVENT}, '_end', cast(null as int))"
+        marks = f"if(_side = {_EVENT}, array({itself}), array({marks}))"
+        placed = instants(rows).selectExpr(*keys, f"if(_side = {_EVENT}, null, _t) as _at", f"explode({marks}) as _m", *kept, *tops)
+        return run(placed.selectExpr(*keys, "_at", "_m.*", *kept, *tops), order, weight=weight, **totals)
+
+    def instants(rows: DataFrame) -> DataFrame:
+        """One row for each instant of a key and side."""
+        return rows.groupBy(*keys, "_t", "_side").agg(
+            *[F.expr(f"coalesce(sum({s}), 0L) as {s}") for s in kept], *[F.expr(f"max({top}) as {top}") for top in tops]
+        )
 
     if own:
-        line, sweep = instants, sweep_own
+        sweep = sweep_own
     else:
         asked = probes.where(f"{probe_ts} >= {since}" if since else f"{probe_ts} is not null")
-        asked = asked.selectExpr(*keys, f"{probe_ts} as _at").distinct()
-        marks = ", ".join(_mark(i, name, "_at") for name, i in ends.items())
-        marks = asked.selectExpr(*keys, "_at", f"explode(array({marks})) as _m")
-        line = instants.selectExpr(*keys, "_t", f"{_EVENT} as _side", *kept, *tops).unionByName(
-            marks.selectExpr(*keys, "_at", "_m.*", *[f"0L as {s}" for s in kept]), allowMissingColumns=True
-        )
+        asked = asked.selectExpr(*keys, f"{probe_ts} as _t", f"{_AFTER} as _side")
+        line = line.unionByName(asked, allowMissingColumns=True)
 
     results = []
     for out, (name, window) in outputs.items():
@@ -175,7 +180,7 @@ def trailing(
         results.append(f"max(if(_end = {ends[w.stop]}{recent}, {found}, null)) as {out}")
     answers = [
         sweep(rows, run).where("_end is not null").groupBy(*keys, "_at").agg(*[F.expr(r) for r in results])
-        for rows, run in paths(line, keys, hot, hot_rows)
+        for rows, run in paths(line, keys, hot, hot_rows, gather=True)
     ]
     return reduce(DataFrame.unionByName, answers).withColumnRenamed("_at", probe_ts)
 

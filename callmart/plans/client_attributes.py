@@ -17,7 +17,9 @@ from callmart.functions.calendar import age_years
 from callmart.functions.decode import decode, first_known, latest_status
 from callmart.operators.dedupe import dedupe, first_per, latest_per
 from callmart.operators.joins import lookup, restrict_to
+from callmart.operators.reducers import bloom, met_by
 from callmart.operators.scans import active
+from callmart.session import stage
 
 PAIR = ["phone_number", "cuid"]
 
@@ -81,9 +83,14 @@ def one_per_party(records: DataFrame, parties: DataFrame) -> DataFrame:
 
 
 def client_attributes(calls: DataFrame, t: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
-    """Attributes per distinct (phone, client) of ``calls``; where sources differ, trust decides."""
-    pairs = dedupe(calls, PAIR)
-    contacts = known_contacts(t["contact"], t["role"])
+    """Attributes per distinct (phone, client) of ``calls``; where sources differ, trust decides.
+
+    Only contacts of the called phones and client records of the identified clients are ranked: Bloom filters drop the
+    others in the scan. The pairs are staged for them, and again with their parties.
+    """
+    pairs = stage(dedupe(calls, PAIR), "pairs")
+    phones = bloom(pairs.where("phone_number is not null"), "phone_number")
+    contacts = known_contacts(met_by(t["contact"], "phone_number", phones, pairs, "phone_number"), t["role"])
     out = lookup(
         pairs, contacts, {"phone_number": "phone_number", "cuid": "external_id"},
         ["party_id", "party_role_id", "classification"],
@@ -97,7 +104,9 @@ def client_attributes(calls: DataFrame, t: Mapping[str, DataFrame], ctx: RunCont
     out = lookup(out, one_per_party(t["person_rel"], parties), {"pif_party_id": "id"})
 
     # One row per identified client: the oldest registry row, the newest state and bureau rows.
-    known = lambda name, key: t[name].where(F.col(key).isNotNull())
+    out = stage(out, "identified")
+    codes = bloom(out.where("identification_code is not null"), "identification_code")
+    known = lambda name, key: met_by(t[name].where(F.col(key).isNotNull()), key, codes, out, "identification_code")
     registry = first_per(
         known("registry", "text_identification_number"), ["text_identification_number"], "dtime_modified", "tie"
     )
