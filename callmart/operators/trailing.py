@@ -30,6 +30,7 @@ UNTIL = "until"  # events before the probe's own time
 MIDNIGHT = "midnight"  # events up to the start of the probe's day, included
 
 # Most days that a unit of ``Trailing.back`` can span.
+_FIXED = ("HOUR", "DAY", "WEEK")  # of one length always, unlike months
 _DAYS = {"HOUR": 1, "DAY": 1, "WEEK": 7, "MONTH": 31, "YEAR": 366}
 
 
@@ -163,6 +164,51 @@ def trailing(
         asked = asked.selectExpr(*keys, f"{probe_ts} as _t", f"{_AFTER} as _side")
         line = line.unionByName(asked, allowMissingColumns=True)
 
+    def by_ranges(rows: DataFrame) -> DataFrame:
+        """For windows of a fixed length: each end is a frame that begins with the key's first row, so rows are not multiplied.
+
+        Such a frame only ever takes rows in. The rows of one day (a row at midnight belongs to the day before) see the same midnight.
+        """
+        over = "partition by {} order by {} range between unbounded preceding and {}".format
+        by = ", ".join(keys)
+        day = "date_trunc('DAY', _t - interval 1 microsecond)"
+        found, needed = {}, {e: set() for e in ends}
+        for name, window in outputs.values():
+            for e in windows[window].ends:
+                needed[e].add(f"_s_{name}")
+        for out, (_, window) in latest.items():
+            needed[windows[window].stop].add(f"_l_{out}")
+        total = lambda s: f"max({s})" if s.startswith("_l_") else f"sum({s})"
+        every = list(dict.fromkeys([*kept, *tops]))
+        out = instants(rows)
+        if MIDNIGHT in ends:
+            out = out.withColumn("_day", F.expr(f"cast({day} as timestamp_ntz)"))
+            out = out.selectExpr(*[c for c in out.columns if c != "_day"], *[
+                f"if(_t = date_trunc('DAY', _t), {total(s)} over ({over(by, '_day', 'current row')}), {total(s)} over ({over(by, '_day', 'interval 1 day preceding')})) as _midnight{s}"
+                for s in every if s in needed[MIDNIGHT]
+            ])
+        bounds = {UPTO: "current row", UNTIL: "interval 1 microsecond preceding"}
+        columns = [
+            f"{total(s)} over ({over(by, '_t', bounds.get(e, f'interval {e} 1 microsecond preceding'))}) as _{i}{s}"
+            for e, i in ends.items() if e != MIDNIGHT
+            for s in every if s in needed[e]
+        ]
+        out = out.selectExpr("*", *columns).where(f"_t >= {since}" if since and own else "true" if own else f"_side = {_AFTER}")
+        at = lambda e, s: f"_midnight{s}" if e == MIDNIGHT else f"_{ends[e]}{s}"
+        values = []
+        for name, (s, window) in outputs.items():
+            w = windows[window]
+            value = f"coalesce({at(w.stop, f'_s_{s}')}, 0L)"
+            if w.back:
+                value += f" - coalesce({at(w.back, f'_s_{s}')}, 0L)"
+            if w.back and w.stop == MIDNIGHT:
+                value = f"if({_end(w.back, '_t')[0]} <= {_end(MIDNIGHT, '_t')[0]}, {value}, 0L)"
+            values.append(f"{value} as {name}")
+        for name, (_, window) in latest.items():
+            w, newest = windows[window], at(windows[window].stop, f"_l_{name}")
+            values.append(f"if({newest} >= {_end(w.back, '_t')[0]}, {newest}, null) as {name}" if w.back else f"{newest} as {name}")
+        return out.selectExpr(*keys, "_t as _at", *values)
+
     results = []
     for out, (name, window) in outputs.items():
         w, total = windows[window], f"_r_s_{name}"
@@ -178,9 +224,11 @@ def trailing(
         w, found = windows[window], f"_r_l_{out}"
         recent = f" and {found} >= {_end(w.back, '_at')[0]}" if w.back else ""
         results.append(f"max(if(_end = {ends[w.stop]}{recent}, {found}, null)) as {out}")
+    fixed = all(b is None or b.split()[1].upper().rstrip("S") in _FIXED for b in backs)
     answers = [
-        sweep(rows, run).where("_end is not null").groupBy(*keys, "_at").agg(*[F.expr(r) for r in results])
-        for rows, run in paths(line, keys, hot, hot_rows, gather=True)
+        by_ranges(rows) if fixed and plain
+        else sweep(rows, run).where("_end is not null").groupBy(*keys, "_at").agg(*[F.expr(r) for r in results])
+        for plain, (rows, run) in zip((True, False), paths(line, keys, hot, hot_rows, gather=True))
     ]
     return reduce(DataFrame.unionByName, answers).withColumnRenamed("_at", probe_ts)
 
