@@ -2,8 +2,9 @@
 
 The meaning is an interval join: for a probe at time t, the events e of the same key with
 ``lower(t) <= e <= upper(t)``, aggregated. A join would form every (probe, event) pair of a key.
-Here both ends of every window become rows of their own among the events, each end finds the total
-of all events up to it, and a window is the difference of its two ends. Work grows with the number
+Here each end of a window finds the total of all events up to it, and a window is the difference of its two ends: by
+frames that begin with the key's first row where windows have a fixed length, else both ends become rows of their own
+among the events. Work grows with the number
 of events, not with its square, and ends may lie anywhere (a month back with its clamped day, the
 last midnight).
 
@@ -29,8 +30,9 @@ UPTO = "upto"  # events up to the probe's own time, included
 UNTIL = "until"  # events before the probe's own time
 MIDNIGHT = "midnight"  # events up to the start of the probe's day, included
 
+# Units of ``Trailing.back`` that always have one length, unlike months.
+_FIXED = ("HOUR", "DAY", "WEEK")
 # Most days that a unit of ``Trailing.back`` can span.
-_FIXED = ("HOUR", "DAY", "WEEK")  # of one length always, unlike months
 _DAYS = {"HOUR": 1, "DAY": 1, "WEEK": 7, "MONTH": 31, "YEAR": 366}
 
 
